@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.electrical import limit_rules
 from wattlake.functions.numeric import half_up
 from wattlake.operators.joins import baseline_lookup
 from wattlake.schema import AlertLimits, ScoreDefaults
@@ -87,4 +86,3 @@ def evaluate(df: DataFrame, baselines: DataFrame, limits: AlertLimits = AlertLim
     }).drop("_kw", "_v", "_pf", "_z", "mean_kw", "std_kw")
 
 
-__all__ = ["alerts", "evaluate", "fixed", "limit_rules"]

@@ -17,7 +17,6 @@ from wattlake.functions.calendar import add_calendar, hour_start
 from wattlake.functions.electrical import above, below
 from wattlake.functions.numeric import (exact_avg, exact_sum, from_units, half_up, mean_from, to_units)
 from wattlake.operators.filters import at_latest
-from wattlake.operators.keyed import first_per_key
 from wattlake.schema import MEASURES, AlertLimits
 
 READING_MINUTES = 15.0
