@@ -83,7 +83,9 @@ def baseline_lookup(readings: DataFrame, baselines: DataFrame,
                     defaults: ScoreDefaults = ScoreDefaults()) -> DataFrame:
     """C-07: mean and deviation of the reading's meter; an unknown meter gets the default pair.
 
-    Works on a batch or, as a stream-static join, on a stream.
+    Works on a batch or, as a stream-static join, on a stream.  Pass stored
+    baselines: their size is then known, so a small table is broadcast, and with a
+    large one AQE can split the partition of a meter with very many readings.
     """
     known = baselines.select("meter_id", F.lit(True).alias("_known"), "mean_kw", "std_kw")
     joined = readings.join(known, "meter_id", "left")

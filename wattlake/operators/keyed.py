@@ -52,10 +52,13 @@ def top_k(df: DataFrame, k: int, by: str, tiebreak: Sequence[str] = ()) -> DataF
 
 
 def latest_per_meter(df: DataFrame, metrics: Sequence[str] = ("power_kw", "voltage_v", "power_factor"),
-                     key: str = "meter_id", ts: str = "timestamp",
-                     tiebreak: str = "event_id") -> DataFrame:
-    """E-08: the last non-null value of each metric per meter, in time order."""
-    when = F.struct(F.col(ts), F.col(tiebreak))
-    values = [F.max_by(F.col(name), F.when(F.col(name).isNotNull(), when)).alias(name)
+                     key: str = "meter_id", ts: str = "timestamp") -> DataFrame:
+    """E-08: the last non-null value of each metric per meter, in time order.
+
+    Expects one reading per meter and time, as the deduplication leaves them.  The
+    buffers are a double and a time, so this is a hash aggregate; breaking ties by
+    a string would turn it into a sort of all readings.
+    """
+    values = [F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.col(ts))).alias(name)
               for name in metrics]
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*values)

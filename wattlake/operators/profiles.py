@@ -248,27 +248,25 @@ def meter_baselines(df: DataFrame) -> DataFrame:
 def kpis(df: DataFrame) -> DataFrame:
     """D-06: the KPI row - counts, time range, load of the latest readings, overall load.
 
-    One scan: readings are reduced to cells of (meter, building, category), which
-    carry the last non-null value of each metric; the newest cell of a meter then
-    gives its latest reading.
+    One scan: readings, of which a meter has one per time, are reduced to cells of
+    (meter, building, category) that carry the last non-null value of each metric.
+    The newest cell of a meter then gives its latest reading.
     """
     metrics = ("power_kw", "voltage_v", "power_factor")
-    seen = F.struct("timestamp", "event_id")
     parts = [F.count("*").alias("n_rows"),
              F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
              F.sum(to_units("power_kw")).alias("units"), F.count("power_kw").alias("n_power"),
              F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min")]
     for name in metrics:
-        present = F.when(F.col(name).isNotNull(), seen)
+        present = F.when(F.col(name).isNotNull(), F.col("timestamp"))
         parts += [F.max(present).alias(f"{name}_seen"), F.max_by(F.col(name), present).alias(f"{name}_last")]
     cells = df.groupBy("meter_id", "building_id", "building_type").agg(*parts)
 
     per_meter = Window.partitionBy("meter_id")
-    latest = {}
-    for name in metrics:
-        newest = F.col(f"{name}_seen") == F.max(f"{name}_seen").over(per_meter)
-        latest[f"{name}_now"] = F.when(F.col("meter_id").isNotNull() & newest, F.col(f"{name}_last"))
-    cells = cells.withColumns(latest)
+    counted = F.row_number().over(per_meter.orderBy("building_id", "building_type")) == 1
+    latest = {f"{name}_latest": F.max_by(f"{name}_last", f"{name}_seen").over(per_meter) for name in metrics}
+    cells = cells.withColumns({**latest, "_once": F.col("meter_id").isNotNull() & counted})
+    cells = cells.withColumns({f"{name}_now": F.when(F.col("_once"), F.col(f"{name}_latest")) for name in metrics})
     return cells.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_records"),
         F.count_distinct("building_type").alias("total_categories"),

@@ -138,7 +138,7 @@ def peak_share(totals: DataFrame) -> DataFrame:
     """E-03: a facility's share of the sum of all peaks, in percent.
 
     The sum is a scalar subquery; a window over the whole table would move every
-    row to one task.
+    row to one task.  Store ``totals`` first if they are costly: they are read twice.
     """
     campus = totals.agg(exact_sum("peak_demand_kw")).scalar()
     share = F.try_divide(F.col("peak_demand_kw"), campus) * 100.0

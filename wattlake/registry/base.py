@@ -66,6 +66,9 @@ VIEWS = {
     "bronze_rows": """
         SELECT event_id, timestamp, meter_id, building_id, COALESCE(building_type, 'Unknown') AS building_type,
                power_kw, voltage_v, current_a, power_factor FROM telemetry""",
+    "unique_rows": """
+        SELECT * FROM telemetry
+        QUALIFY row_number() OVER (PARTITION BY meter_id, timestamp ORDER BY event_id DESC) = 1""",
     "dedup_rows": """
         SELECT * FROM bronze_rows
         QUALIFY row_number() OVER (PARTITION BY meter_id, timestamp ORDER BY event_id DESC) = 1""",

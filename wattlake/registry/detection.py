@@ -10,6 +10,7 @@ from wattlake.operators import dispatch, incidents, profiles
 from wattlake.operators.alerts import alerts
 from wattlake.operators.isolation_forest import (isolation_forest_fit, isolation_forest_score, with_features)
 from wattlake.registry.base import mean, register, rnd
+from wattlake.session import stored
 from wattlake.streaming.jobs import score_readings
 
 
@@ -45,7 +46,7 @@ def alert_rows(spark, sf_dir):
                 FROM telemetry t JOIN meter_stats s ON t.meter_id = s.meter_id))""")
 def _(spark, sf_dir):
     rows = fx.readings(spark, sf_dir)
-    return score_readings(rows, profiles.meter_baselines(rows)).select(
+    return score_readings(rows, stored(profiles.meter_baselines(rows), "baselines")).select(
         "event_id", "ml_anomaly", "anomaly_score", "z_score", "is_anomaly", "primary_reason",
         F.concat_ws("; ", "reasons").alias("reasons"))
 

@@ -8,6 +8,7 @@ from wattlake.operators.joins import enrich_left
 from wattlake.plans import medallion as m
 from wattlake.registry.base import mean, register, rnd, total
 from wattlake.schema import MartContract
+from wattlake.session import stored
 
 
 def silver(spark, sf_dir):
@@ -119,4 +120,5 @@ def _(spark, sf_dir):
 
 @register("facility_efficiency", EFFICIENCY_SQL)
 def _(spark, sf_dir):
-    return m.facility_efficiency(silver(spark, sf_dir))
+    totals = stored(m.facility_totals(silver(spark, sf_dir)), "facility-totals")
+    return m.rank_in_category(m.peak_share(totals))

@@ -217,13 +217,14 @@ def _report_sql(contracts) -> str:
     return "SELECT *, failures = 0 AS passed FROM (" + " UNION ALL ".join(map(_contract_sql, contracts)) + ")"
 
 
-def contract_tables(spark, sf_dir):
-    rows = silver(spark, sf_dir)
-    return {
-        "buildings": fx.buildings(spark, sf_dir), "meters": fx.meters(spark, sf_dir),
-        "bronze": medallion.bronze(fx.readings(spark, sf_dir)), "silver": rows,
-        "hourly": medallion.hourly_facility_demand(rows), "daily": medallion.daily_dispatch(rows),
-        "efficiency": medallion.facility_efficiency(rows)}
+def pipeline_run(spark, sf_dir, contracts):
+    """A whole pipeline run; the folder it wrote to and its report."""
+    out = scratch_dir(spark, "medallion")
+    report = run_pipeline(fx.readings(spark, sf_dir), fx.buildings(spark, sf_dir), fx.meters(spark, sf_dir), out,
+                          contracts=contracts)
+    if report.error:
+        raise RuntimeError(report.error)
+    return out, report
 
 
 CONTRACTS = k.campus_contracts(REGIONS)
@@ -231,12 +232,14 @@ CONTRACTS = k.campus_contracts(REGIONS)
 
 @register("run_contracts", _report_sql(CONTRACTS))
 def _(spark, sf_dir):
-    return k.run_contracts(contract_tables(spark, sf_dir), CONTRACTS)
+    out, _ = pipeline_run(spark, sf_dir, CONTRACTS)
+    return spark.read.parquet(f"{out}/contracts")
 
 
 @register("range_contracts", _report_sql(k.range_contracts()))
 def _(spark, sf_dir):
-    return k.run_contracts(contract_tables(spark, sf_dir), k.range_contracts())
+    out, _ = pipeline_run(spark, sf_dir, k.range_contracts())
+    return spark.read.parquet(f"{out}/contracts")
 
 
 @register("check_not_null", "SELECT COUNT(*) AS failures FROM telemetry WHERE power_kw IS NULL")
@@ -276,9 +279,5 @@ def _(spark, sf_dir):
 @register("pipeline_efficiency_mart", EFFICIENCY_SQL)
 def _(spark, sf_dir):
     """The efficiency mart as the pipeline writes it."""
-    out = scratch_dir(spark, "medallion")
-    report = run_pipeline(fx.readings(spark, sf_dir), fx.buildings(spark, sf_dir), fx.meters(spark, sf_dir), out,
-                          contracts=k.range_contracts()[:2])
-    if not report.success:
-        raise RuntimeError(report.error or str(report.failed_contracts))
+    out, _ = pipeline_run(spark, sf_dir, k.range_contracts()[:2])
     return serving.read_marts(spark, f"{out}/gold")["efficiency"]

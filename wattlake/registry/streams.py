@@ -9,7 +9,7 @@ from wattlake.operators import live, profiles
 from wattlake.registry.base import register
 from wattlake.registry.profiles import NINE
 from wattlake.schema import TELEMETRY_COLUMNS
-from wattlake.session import scratch_dir
+from wattlake.session import scratch_dir, stored
 from wattlake.sources import lake
 from wattlake.streaming import jobs
 from wattlake.streaming.windows import sliding_building_averages
@@ -45,7 +45,7 @@ def _(spark, sf_dir):
 @register("streamed_alerts", "SELECT event_id, meter_id, alert_type, severity, description FROM alert_rows")
 def _(spark, sf_dir):
     folder = scratch_dir(spark, "stream-alerts")
-    baselines = profiles.meter_baselines(fx.readings(spark, sf_dir))
+    baselines = stored(profiles.meter_baselines(fx.readings(spark, sf_dir)), "baselines")
     jobs.score_stream(event_stream(spark, sf_dir), baselines, f"{folder}/readings", f"{folder}/alerts",
                       f"{folder}/checkpoint", interval=None).awaitTermination()
     rows = spark.read.parquet(f"{folder}/alerts")

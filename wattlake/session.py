@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "wattlake", master: str | None = None,
@@ -55,3 +55,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists in the file system the path names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Writes a derived table to the scratch folder and reads it back.
+
+    For tables that several branches of a plan read, or that another table is
+    joined with: the lineage is cut, and the size of the files tells Spark whether
+    the table may be broadcast.
+    """
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
