@@ -3,7 +3,9 @@
 No side carries a broadcast hint.  The catalogs grow with the fleet, so the
 choice is Spark's: it broadcasts a catalog whose measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where AQE
-splits the partition of a building that holds a large share of the readings.
+splits the partition of a building that holds a large share of the readings.  The
+catalogs are joined one after the other, because the planner knows the size of a
+stored table but overestimates that of a join between two of them.
 """
 
 from __future__ import annotations
@@ -17,10 +19,9 @@ from wattlake.schema import MEASURES, ScoreDefaults, SilverRules
 
 def _star(facts: DataFrame, meters: DataFrame, buildings: DataFrame) -> DataFrame:
     """Facts with the building of their meter; rows without a match are dropped."""
-    place = meters.select("meter_id", "building_id").join(
-        buildings.select("building_id", "building_name", F.col("category").alias("building_type")),
-        "building_id", "inner")
-    return facts.drop("building_id", "building_type", "building_name").join(place, "meter_id", "inner")
+    names = buildings.select("building_id", "building_name", F.col("category").alias("building_type"))
+    return facts.drop("building_id", "building_type", "building_name") \
+        .join(meters.select("meter_id", "building_id"), "meter_id", "inner").join(names, "building_id", "inner")
 
 
 def star_rows(readings: DataFrame, meters: DataFrame, buildings: DataFrame) -> DataFrame:
