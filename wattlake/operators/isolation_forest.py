@@ -7,17 +7,22 @@ once.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import day_of_week
 from wattlake.operators.keyed import first_per_key
 
+# Ship the functions below with the tasks, so that workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Defaults (fixed values).
 FEATURES = ("hour", "day_of_week", "power_kw", "voltage_v", "current_a", "power_factor")
 TREES = 100
@@ -57,8 +62,9 @@ def training_sample(df: DataFrame, cols: Sequence[str] = FEATURES, trees: int =
     per_tree = min(1.0, 4.0 * sample / max(1.0, share * distinct))
     draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.struct(
         tree.alias("tree"), _uniform(F.col(key), F.lit(seed), tree).alias("draw")))
-    drawn = pool.select(key, "reading", F.explode(F.filter(draws, lambda d: d["draw"] < per_tree)).alias("d"))
-    drawn = drawn.select(key, "d.tree", "d.draw", "reading.*")
+    # the outer form keeps the draws of each tree out of the filter on the raw rows
+    drawn = pool.select(key, "reading", F.explode_outer(F.filter(draws, lambda d: d["draw"] < per_tree)).alias("d"))
+    drawn = drawn.where(F.col("d").isNotNull()).select(key, "d.tree", "d.draw", "reading.*")
     return first_per_key(drawn, ["tree"], [F.asc("draw"), F.asc(key)], sample)
 
 
@@ -112,13 +118,18 @@ class IsolationForest:
 
     def normality(self, points: np.ndarray) -> np.ndarray:
         """Minus two to the minus relative path length: near -1 is anomalous, above -0.5 normal."""
-        trees = np.arange(len(self.feature))[None, :]
-        at = np.zeros((len(points), len(self.feature)), dtype=np.int32)
-        rows = np.arange(len(points))[:, None]
-        for _ in range(self.depth):
-            go_left = points[rows, self.feature[trees, at]] <= self.threshold[trees, at]
-            at = np.where(go_left, self.left[trees, at], self.right[trees, at])
-        mean_path = self.path[trees, at].mean(axis=1)
+        flat = np.ascontiguousarray(points).ravel()
+        base = np.arange(len(points)) * points.shape[1]
+        total = np.zeros(len(points))
+        for tree in range(len(self.feature)):  # one tree at a time: its nodes stay in the cache
+            children = np.stack([self.left[tree], self.right[tree]], axis=1).ravel()
+            feature, threshold = self.feature[tree], self.threshold[tree]
+            at = np.zeros(len(points), dtype=np.intp)
+            for _ in range(self.depth):
+                go_right = flat.take(base + feature.take(at)) > threshold.take(at)
+                at = children.take(2 * at + go_right)
+            total += self.path[tree].take(at)
+        mean_path = total / len(self.feature)
         return -np.power(2.0, -mean_path / max(float(_average_path(self.sample_size)), 1e-12))
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
@@ -146,8 +157,8 @@ def _pack(rows: list[dict], cols: tuple[str, ...], offset: float = 0.0) -> Isola
 
     size = max(row["sample_size"] for row in rows)
     return IsolationForest(
-        cols, padded("feature", np.int32), padded("threshold", float), padded("left", np.int32),
-        padded("right", np.int32), padded("path", float), int(np.ceil(np.log2(max(size, 2)))), size, offset)
+        cols, padded("feature", np.intp), padded("threshold", float), padded("left", np.intp),
+        padded("right", np.intp), padded("path", float), int(np.ceil(np.log2(max(size, 2)))), size, offset)
 
 
 def isolation_forest_fit(df: DataFrame, cols: Sequence[str] = FEATURES, trees: int = TREES,

@@ -17,8 +17,8 @@ from wattlake.streaming.windows import sliding_building_averages
 
 def event_stream(spark, sf_dir):
     """The events table as a stream of readings; the event time is the exact one."""
-    events = spark.readStream.schema(fx.table(spark, sf_dir, "events").schema) \
-        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # a pattern, because the table may be one file or a folder of files
+    events = spark.readStream.schema(fx.table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parque[t]")
     rows = fx.telemetry_from(events, spark, sf_dir)
     return rows.withColumn("timestamp", F.col("raw_ts").cast("timestamp")).drop("raw_ts")
 
