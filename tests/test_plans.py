@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from wattlake import fixtures as fx
-from wattlake.operators import filters, joins, profiles
+from wattlake.operators import filters, joins, keyed, profiles
 from wattlake.plans import medallion
 from wattlake.session import stored
 from wattlake.sources import lake
@@ -55,6 +55,12 @@ def test_recent_pushes_its_cutoff_to_the_scan(spark, lake_path):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(timestamp,ScalarSubquery", plan)
 
 
+def test_newest_first_pushes_its_cutoff_to_the_scan(spark, lake_path):
+    rows = keyed.newest_first(lake.read_lake(spark, lake_path), 100)
+    text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert re.search(r"PushedFilters: \[Or\(GreaterThanOrEqual\(timestamp,ScalarSubquery", text)
+
+
 def test_dedup_limits_each_key_before_the_shuffle(spark, lake_path):
     plan = plan_of(medallion.dedup_latest(lake.read_lake(spark, lake_path)))
     final, shuffle, partial = plan.index("Final"), plan.index("Exchange hashpartitioning"), plan.index("Partial")

@@ -118,3 +118,14 @@ def test_scoring_writes_readings_with_verdicts_and_alerts(spark, tmp_path):
     raised = spark.read.parquet(str(tmp_path / "a")).orderBy("alert_type").collect()
     assert [(row["event_id"], row["alert_type"], float(row["metric_value"])) for row in raised] == [
         ("E00003", "LOW_POWER_FACTOR", 0.5), ("E00003", "VOLTAGE_SAG", 214.2)]
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    path = put(tmp_path / "in", [event(n, n) for n in range(4)])
+    query = jobs.sink_readings_and_alerts(stream(spark, path), str(tmp_path / "r"), str(tmp_path / "a"),
+                                          str(tmp_path / "cp"), interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 4

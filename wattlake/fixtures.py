@@ -41,7 +41,7 @@ def telemetry_from(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     return placed.select(
         _code("E", "event_id", 8).alias("event_id"),
-        (F.date_trunc("hour", "ts") + half).alias("timestamp"),
+        (F.date_trunc("hour", "ts") + half).cast("timestamp_ntz").alias("timestamp"),
         F.col("ts").alias("raw_ts"),
         _code("M", "user_id", 5).alias("meter_id"),
         _code("B", "c_nationkey", 2).alias("building_id"),

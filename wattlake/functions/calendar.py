@@ -32,4 +32,5 @@ def add_partitions(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def hour_start(ts: Column | str) -> Column:
-    return F.date_trunc("hour", ts)
+    """The start of the hour, without a zone."""
+    return F.date_trunc("hour", ts).cast("timestamp_ntz")

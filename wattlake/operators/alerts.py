@@ -20,6 +20,7 @@ def alerts(df: DataFrame, limits: AlertLimits = AlertLimits()) -> DataFrame:
     """J-04: zero to two alert rows per reading - sag or else surge, and low power factor.
 
     One pass, no shuffle: the alerts of a reading are an array that is exploded.
+    The texts are fixed values.
     """
     def alert(kind: str, severity: str, metric: str, limit: float, text: Column) -> Column:
         return F.struct(F.lit(kind).alias("alert_type"), F.lit(severity).alias("severity"),

@@ -36,7 +36,8 @@ def newest_first(df: DataFrame, limit: int, ts: str = "timestamp",
     newer = F.sum("_rows").over(
         Window.orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, -1))
     needed = per_hour.withColumn("_newer", F.coalesce(newer, F.lit(0))).where(F.col("_newer") < limit)
-    cutoff = needed.agg(F.min("_hour")).scalar()
+    # in the type of the column, else the comparison casts the column and is not pushed
+    cutoff = needed.agg(F.min("_hour").cast(df.schema[ts].dataType)).scalar()
     order = [F.desc_nulls_last(ts), *[F.desc_nulls_last(name) for name in tiebreak]]
     return df.where((F.col(ts) >= cutoff) | F.col(ts).isNull()).orderBy(*order).limit(limit)
 
