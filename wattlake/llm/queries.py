@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import bpe, licences, packing, quality, sharding, wordpiece
+from wattlake.llm import bpe, licences, nearest, packing, pages, quality, sharding, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": licences.op1_licences,
     "op2_bpe": bpe.op2_bpe,
     "op3_quality": quality.op3_quality,
+    "op4_pages": pages.op4_pages,
+    "op5_nearest": nearest.op5_nearest,
     "op7_sharding": sharding.op7_sharding,
     "op9_packing": packing.op9_packing,
     "op10_wordpiece": wordpiece.op10_wordpiece,
