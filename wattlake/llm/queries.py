@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import bpe, licences, nearest, packing, pages, quality, sharding, wordpiece
+from wattlake.llm import bpe, jaccard, licences, nearest, packing, pages, quality, repeats, sharding, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": licences.op1_licences,
@@ -14,7 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.op3_quality,
     "op4_pages": pages.op4_pages,
     "op5_nearest": nearest.op5_nearest,
+    "op6_repeats": repeats.op6_repeats,
     "op7_sharding": sharding.op7_sharding,
+    "op8_jaccard": jaccard.op8_jaccard,
     "op9_packing": packing.op9_packing,
     "op10_wordpiece": wordpiece.op10_wordpiece,
 }
