@@ -10,11 +10,12 @@ differ in at most (|x| + |y|) / 7 shingles.
   cells agree.  So for each part and each 2 of its 3 cells the set sends one signature, the hash of its shingles
   there, and similar sets share one.  Sets of up to 11 shingles send their subsets instead (each shingle is a cell).
 * Empty cells tell nothing and are not sent, as long as the set has more parts with two filled cells than can be
-  spoilt: then one of these must agree.  Several splits are tried for small sets; a set for which all fail
-  sends its empty cells, too, so no link is lost.
-* How many signatures two similar sets share at least, ``tau``, is known for each set.  Sets that share fewer,
-  because they only have a passage in common, are told apart before any pair is formed: each set leaves out its
-  tau - 1 largest lists, and a pair that shares tau lists still meets in another one.
+  spoilt: then one of these must agree.  Sets of up to 63 shingles are split twice over; a set for which all
+  splits fail sends its empty cells, too, so no link is lost.
+* Which sets take part.  At least three quarters of a linked set's shingles are in its partner, so a set with more
+  than a quarter of shingles that no other set has can be left out.  This is tested first on a fixed two fifths of
+  the domain of shingles for all sets (a set of its own fails by far), then on the whole domain for those left.
+  Documents that only have a passage in common with thousands of others are gone before any pair is formed.
 * Pairs.  First each list's smallest set is held against the others of the list, then, for lists whose sets have
   not ended in one component, those of the smaller components against the rest.  Each pair is verified on the
   sets themselves.  No list is capped; a list of many copies is linked by a star, not by all its pairs.
@@ -31,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import binaries, blocks, mix, parallelism, ragged, raw_texts, read
@@ -41,6 +42,7 @@ from wattlake.session import stored
 
 BLOCK = 2 << 20
 SMALL = 11                       # sizes up to this send subsets
+FIFTHS = 2                       # of the domain of shingles, for the first test
 U64 = np.uint64
 
 
@@ -49,10 +51,10 @@ def bands(most: int) -> list[tuple[int, int, int, int, int]]:
     """(smallest size, largest size, k, parts, splits) of the bands up to a size."""
     found, low = [(1, SMALL, 0, 0, 0)], SMALL + 1
     while not found or found[-1][1] < most:
-        high = max(low, int(low * 1.155) if low < 256 else low * 4 // 3)
+        high = max(low, int(low * 1.155) if low < 128 else low * 4 // 3)
         k = 2 * high // 7
         share = 0.3 if low < 1024 else 0.25
-        found.append((low, high, k, max(k // 2 + 2, round(share * low)), 3 if low < 64 else 2 if low < 160 else 1))
+        found.append((low, high, k, max(k // 2 + 2, round(share * low)), 2 if low < 64 else 1))
         low = high + 1
     return found
 
@@ -70,15 +72,15 @@ def subset_signatures(values: np.ndarray) -> np.ndarray:
                              for out in combinations(range(len(values)), n)], U64))
 
 
-def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """signature, set (by place), band and tau, for the sets laid end to end."""
+def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures and whose they are (by place), for the sets laid end to end."""
     starts = np.cumsum(counts) - counts
     table = bands(int(counts.max(initial=0)) * 4 // 3 + 1)
     own, last = band_of(counts, table), band_of(counts * 4 // 3, table)
     out: list[tuple] = []
     for place in np.nonzero((counts > 0) & (own == 0))[0]:
         found = subset_signatures(values[starts[place]:starts[place] + counts[place]])
-        out.append((found, np.full(len(found), place), np.zeros(len(found), np.int64), np.ones(len(found), np.int64)))
+        out.append((found, np.full(len(found), place)))
     for number in range(1, len(table)):
         members = np.nonzero((counts > 0) & (own <= number) & (number <= last))[0]
         if not len(members):
@@ -86,7 +88,7 @@ def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]
         _, _, k, parts, splits = table[number]
         at = ragged(starts[members], counts[members])
         holder = np.repeat(np.arange(len(members)), counts[members])
-        tau = np.zeros(len(members), np.int64)
+        thin = np.ones(len(members), bool)
         made = []
         for split in range(splits):
             with np.errstate(over="ignore"):
@@ -96,10 +98,8 @@ def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]
             filled = np.bincount(place, minlength=len(members) * 3 * parts).reshape(-1, parts, 3) > 0
             sums = np.zeros(len(members) * 3 * parts, U64)
             np.add.at(sums, place, mix(value))
-            sums = sums.reshape(-1, parts, 3)
-            tau += np.maximum(0, (filled.sum(2) >= 2).sum(1) - k // 2)
-            made.append((filled, sums))
-        thin = tau == 0
+            thin &= (filled.sum(2) >= 2).sum(1) <= k // 2
+            made.append((filled, sums.reshape(-1, parts, 3)))
         for split, (filled, sums) in enumerate(made):
             for a, b in ((0, 1), (0, 2), (1, 2)):
                 send = filled[:, :, a] | filled[:, :, b]
@@ -109,104 +109,124 @@ def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]
                 salt = ((part * 3 + a + b) * 8 + split).astype(U64) + U64(number << 40)
                 with np.errstate(over="ignore"):
                     found = mix(sums[row, part, a] + mix(sums[row, part, b] + mix(salt)))
-                out.append((found, members[row], np.full(len(row), number), np.maximum(1, tau[row])))
+                out.append((found, members[row]))
     if not out:
-        return np.zeros(0, U64), *[np.zeros(0, np.int64)] * 3
+        return np.zeros(0, U64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def sampled(values: np.ndarray) -> np.ndarray:
+    """Whether a shingle is in the part of the domain that the first test looks at."""
+    return mix(values + U64(99)) % U64(5) < U64(FIFTHS)
+
+
+def sets_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of a batch of texts, plain or packed."""
+    if "packed" in batch.schema.names:
+        unpack = zstandard.ZstdDecompressor()
+        return shingle_sets([unpack.decompress(item) for item in batch.column("packed").to_pylist()])
+    return shingle_sets(raw_texts(batch, "text"))
+
+
 def describe(batches) -> Iterator[pa.RecordBatch]:
-    """The set number and size of each row."""
+    """The set number, size and size within the first test's domain of each row."""
     for batch in blocks(batches, "text", BLOCK):
-        values, counts = shingle_sets(raw_texts(batch, "text"))
+        values, counts = sets_of(batch)
+        inside = np.bincount(np.repeat(np.arange(len(counts)), counts)[sampled(values)], minlength=len(counts))
+        others = [name for name in batch.schema.names if name != "text"]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(name) for name in batch.schema.names if name != "text"), pa.array(set_numbers(values, counts)),
-             pa.array(counts.astype(np.int64))], [*(name for name in batch.schema.names if name != "text"), "vertex", "n_shingles"])
+            [*map(batch.column, others), pa.array(set_numbers(values, counts)), pa.array(counts.astype(np.int64)),
+             pa.array(inside.astype(np.int64))], [*others, "vertex", "n_shingles", "n_sampled"])
 
 
-def send_signatures(batches, buckets: int) -> Iterator[pa.RecordBatch]:
-    """The signatures of each block's different sets, by bucket.
+def send(batches, column: str, buckets: int, what) -> Iterator[pa.RecordBatch]:
+    """Hashes of each block's different sets, as ``what`` makes them, with the sets' numbers, by bucket.
 
-    A signature is kept to 40 bits besides its bucket: buckets follow the input, so chance meetings (which cost a
-    comparison, no more) stay as rare at any size.
+    A hash is kept to 32 bits besides its bucket.  Buckets follow the input, so chance meetings stay as rare at any
+    size; they let a set through a test or cost a comparison, no more.
     """
-    for batch in blocks(batches, "text", BLOCK):
-        values, counts = shingle_sets(raw_texts(batch, "text"))
+    for batch in blocks(batches, column, BLOCK):
+        values, counts = sets_of(batch)
         vertex = set_numbers(values, counts)
         _, once = np.unique(vertex, return_index=True)
         once = once[counts[once] > 0]
         starts = np.cumsum(counts) - counts
-        found, place, band, tau = signatures(values[ragged(starts[once], counts[once])], counts[once])
-        bucket = (found >> U64(40)) % U64(buckets)
-        short = found & U64((1 << 40) - 1)
-        order = np.lexsort((band, place, bucket))
+        found, place = what(values[ragged(starts[once], counts[once])], counts[once])
+        bucket = (found >> U64(32)) % U64(buckets)
+        order = np.lexsort((place, bucket))
         present, first = np.unique(bucket[order], return_index=True)
-        columns: list[list] = [[], [], [], [], [], []]
-        for number, some in zip(present, np.split(order, first[1:])):
-            for column, value in zip(columns, (
-                    int(number), short[some].astype("<u4").tobytes(), (short[some] >> U64(32)).astype(np.uint8).tobytes(),
-                    packed(vertex[once][place[some]]), band[some].astype("<u2").tobytes(), tau[some].astype("<u4").tobytes())):
-                column.append(value)
-        if columns[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *map(binaries, columns[1:])],
-                                             ["bucket", "low", "high", "vertices", "bands", "taus"])
+        if len(present):
+            parts = np.split(order, first[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(present.astype(np.int32)), binaries([found[some].astype("<u4").tobytes() for some in parts]),
+                 binaries([packed(vertex[once][place[some]]) for some in parts])], ["bucket", "hashes", "vertices"])
 
 
-SIGNATURE_SCHEMA = "bucket int, low binary, high binary, vertices binary, bands binary, taus binary"
-LIST_SCHEMA = "list long, band int, weight long, vertices array<bigint>, taus array<int>"
+HASH_SCHEMA = "bucket int, hashes binary, vertices binary"
 
 
-def meet(table: pa.Table) -> pa.Table:
-    """Of one bucket: the different lists of sets that share a signature, and how many signatures each list has."""
-    def joined(name: str, kind: str) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-    signature = joined("low", "<u4").astype(np.int64) | joined("high", "u1").astype(np.int64) << 32
+def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (hash, vertex) of one bucket, sorted, of hashes that more than one vertex sent."""
+    value = np.frombuffer(b"".join(table.column("hashes").to_pylist()), "<u4")
     vertex = np.concatenate([unpacked(x) for x in table.column("vertices").to_pylist()])
-    band, tau = joined("bands", "<u2").astype(np.int64), joined("taus", "<u4").astype(np.int64)
-    order = np.argsort(signature, kind="stable")
-    ranked = signature[order]
-    head = np.append(True, ranked[1:] != ranked[:-1])
-    many = ~(head & np.append(head[1:], True))                       # alone with its signature: most are
-    order = order[many]
-    order = order[np.lexsort((vertex[order], band[order], signature[order]))]
-    run = signature[order] * 512 + band[order]
-    new = np.append(True, run[1:] != run[:-1])[:len(run)]
-    keep = new | np.append(True, vertex[order][1:] != vertex[order][:-1])[:len(run)]
-    order, run = order[keep], run[keep]
-    head = np.nonzero(np.append(True, run[1:] != run[:-1])[:len(run)])[0]
-    size = np.diff(np.append(head, len(run)))
-    head, size = head[size > 1], size[size > 1]
-    if not len(head):
-        return pa.table({name: pa.array([], kind) for name, kind in zip(
-            ("list", "band", "weight", "vertices", "taus"),
-            (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())))})
-    flat = order[ragged(head, size)]
-    edges = np.cumsum(size) - size
-    with np.errstate(over="ignore"):
-        name = mix(np.add.reduceat(mix(vertex[flat].astype(U64)), edges) + mix(band[flat[edges]].astype(U64) + size.astype(U64)))
-    name, first, weight = np.unique(name, return_index=True, return_counts=True)
-    members = flat[ragged(edges[first], size[first])]
-    offsets = pa.array(np.append(0, np.cumsum(size[first])).astype(np.int32))
-    return pa.table({"list": pa.array(name.astype(np.int64)), "band": pa.array(band[flat[edges[first]]], pa.int32()),
-                     "weight": pa.array(weight, pa.int64()),
-                     "vertices": pa.ListArray.from_arrays(offsets, pa.array(vertex[members])),
-                     "taus": pa.ListArray.from_arrays(offsets, pa.array(tau[members], pa.int32()))})
-
-
-def shared_lists(rows: DataFrame) -> DataFrame:
-    """(list, vertex): which sets share signatures, without what a similar pair can do without."""
+    order = np.argsort(value, kind="stable")
+    head = np.append(True, value[order][1:] != value[order][:-1])
+    order = order[~(head & np.append(head[1:], True))]                # alone with its hash: most are
+    order = order[np.lexsort((vertex[order], value[order]))]
+    value, vertex = value[order], vertex[order]
+    new = np.append(True, (value[1:] != value[:-1]) | (vertex[1:] != vertex[:-1]))[:len(value)]
+    value, vertex = value[new], vertex[new]
+    head = np.append(True, value[1:] != value[:-1])[:len(value)]
+    several = ~(head & np.append(head[1:], True)[:len(value)])
+    return value[several], vertex[several]
+
+
+def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
+    """(vertex, shared): how many of a set's shingles (of the first test's domain) another set has, if any."""
     buckets = 2 * parallelism(rows.sparkSession)
-    lists = rows.select("text").mapInArrow(lambda batches: send_signatures(batches, buckets), SIGNATURE_SCHEMA) \
-        .groupBy("bucket").applyInArrow(meet, LIST_SCHEMA)
-    whole = lists.groupBy("list", "band").agg(F.sum("weight").alias("weight"), F.first("vertices").alias("vertices"),
-                                              F.first("taus").alias("taus"))
-    each = whole.select("list", "band", "weight", F.size("vertices").alias("size"),
-                        F.explode(F.arrays_zip("vertices", "taus")).alias("of")) \
-        .select("list", "band", "weight", "size", F.col("of.vertices").alias("vertex"), F.col("of.taus").alias("tau"))
-    largest = Window.partitionBy("vertex", "band").orderBy(F.desc("size"), "list")
-    return each.withColumn("spent", F.sum("weight").over(largest.rowsBetween(Window.unboundedPreceding, 0))) \
-        .where(F.col("spent") >= F.col("tau")).select("list", "vertex")
+
+    def tokens(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.repeat(np.arange(len(counts)), counts)
+        return (values[sampled(values)], place[sampled(values)]) if part else (values, place)
+
+    def tally(table: pa.Table) -> pa.Table:
+        vertex, shared = np.unique(received(table)[1], return_counts=True)
+        home = vertex % buckets
+        order = np.lexsort((vertex, home))
+        present, first = np.unique(home[order], return_index=True)
+        parts = np.split(order, first[1:]) if len(present) else []
+        return pa.table({"home": pa.array(present.astype(np.int32)), "vertices": binaries([packed(vertex[some]) for some in parts]),
+                         "shared": binaries([shared[some].astype("<u4").tobytes() for some in parts])})
+
+    def total(table: pa.Table) -> pa.Table:
+        vertex = np.concatenate([unpacked(x) for x in table.column("vertices").to_pylist()])
+        vertex, place = np.unique(vertex, return_inverse=True)
+        shared = np.bincount(place, np.frombuffer(b"".join(table.column("shared").to_pylist()), "<u4"), len(vertex))
+        return pa.table({"vertex": pa.array(vertex), "shared": pa.array(shared.astype(np.int64))})
+
+    return rows.select(column).mapInArrow(lambda batches: send(batches, column, buckets, tokens), HASH_SCHEMA) \
+        .groupBy("bucket").applyInArrow(tally, "home int, vertices binary, shared binary") \
+        .groupBy("home").applyInArrow(total, "vertex long, shared long")
+
+
+def shared_lists(sets: DataFrame) -> DataFrame:
+    """(list, vertex): which sets share a signature; signatures shared by the same sets are one list."""
+    buckets = 2 * parallelism(sets.sparkSession)
+
+    def meet(table: pa.Table) -> pa.Table:
+        value, vertex = received(table)
+        head = np.nonzero(np.append(True, value[1:] != value[:-1])[:len(value)])[0]
+        size = np.diff(np.append(head, len(value)))
+        with np.errstate(over="ignore"):
+            name = mix(np.add.reduceat(mix(vertex.astype(U64)), head) + size.astype(U64)) if len(head) else np.zeros(0, U64)
+        name, first = np.unique(name, return_index=True)
+        offsets = pa.array(np.append(0, np.cumsum(size[first])).astype(np.int32))
+        return pa.table({"list": pa.array(name.astype(np.int64)), "vertices": pa.ListArray.from_arrays(
+            offsets, pa.array(vertex[ragged(head[first], size[first])]))})
+
+    return sets.select("packed").mapInArrow(lambda batches: send(batches, "packed", buckets, signatures), HASH_SCHEMA) \
+        .groupBy("bucket").applyInArrow(meet, "list long, vertices array<bigint>") \
+        .select("list", F.explode("vertices").alias("vertex")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -268,25 +288,31 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
     rows = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     carried = df.select(F.col(key).alias("__key"), F.col(key).cast("long").alias("doc"), *[F.col(f"`{name}`").alias(f"__{name}") for name in keep],
                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    schema = carried.drop("text").schema.add("vertex", "long").add("n_shingles", "long")
+    schema = carried.drop("text").schema.add("vertex", "long").add("n_shingles", "long").add("n_sampled", "long")
     members = stored(carried.mapInArrow(describe, schema), "members")
-    lists = stored(shared_lists(rows), "lists")
-
-    holders = lists.select("vertex").distinct().join(members.groupBy("vertex").agg(F.min("doc").alias("doc")), "vertex")
-    numbered = rows.join(holders.select("doc").distinct(), rows["doc"].eqNullSafe(holders["doc"]), "left_semi")
+    n_least = F.floor(F.col("n_shingles") / 4)                     # what a partner may lack
+    mixed = members.where("n_shingles > 0").join(count_shared(rows, "text", True), "vertex", "left") \
+        .where(F.col("n_sampled") - F.coalesce("shared", F.lit(0)) <= n_least).groupBy("vertex").agg(F.min("doc").alias("doc"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in blocks(batches, "text", BLOCK):
             items = raw_texts(batch, "text")
-            yield pa.RecordBatch.from_arrays([pa.array(set_numbers(*shingle_sets(items))), binaries(list(map(packer.compress, items)))],
-                                             ["vertex", "packed"])
-
-    sets = stored(numbered.select("text").mapInArrow(pack, "vertex long, packed binary")
-                  .join(lists.select("vertex").distinct(), "vertex", "left_semi").dropDuplicates(["vertex"]), "sets")
-
-    hubs = lists.groupBy("list").agg(F.min("vertex").alias("a"), F.count("*").alias("n")).where("n > 1")
-    stars = stored(lists.join(hubs.select("list", "a"), "list").where("vertex <> a")
+            values, counts = shingle_sets(items)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(set_numbers(values, counts)), pa.array(counts.astype(np.int64)), binaries(list(map(packer.compress, items)))],
+                ["vertex", "n_shingles", "packed"])
+
+    holders = mixed.select(F.col("doc").alias("holder")).distinct()
+    some = stored(rows.join(holders, rows["doc"].eqNullSafe(holders["holder"]), "left_semi").select("text")
+                  .mapInArrow(pack, "vertex long, n_shingles long, packed binary")
+                  .join(mixed.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]), "sets")
+    sets = stored(some.join(count_shared(some, "packed", False), "vertex")
+                  .where(F.col("n_shingles") - F.col("shared") <= n_least).select("vertex", "packed"), "sets")
+    lists = stored(shared_lists(sets), "lists")
+
+    hubs = lists.groupBy("list").agg(F.min("vertex").alias("a"))
+    stars = stored(lists.join(hubs, "list").where("vertex <> a")
                    .select("a", F.col("vertex").alias("b")).distinct(), "pairs")
     edges = stored(verified(stars, sets), "links")
     labels = components(edges)
