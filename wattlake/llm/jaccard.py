@@ -16,7 +16,10 @@ differ in at most (|x| + |y|) / 7 shingles.
   than a quarter of shingles that no other set has can be left out.  This is tested first on a fixed two fifths of
   the domain of shingles for all sets (a set of its own fails by far), then on the whole domain for those left.
   Documents that only have a passage in common with thousands of others are gone before any pair is formed.
-* Pairs.  First each list's smallest set is held against the others of the list, then, for lists whose sets have
+* How large a partner may be.  What two linked sets share is at least 3/7 of both sizes together, so a set of n
+  shingles, c of them its own, can only link with sets of up to 7 (n - c) / 3 - n.  Heavily edited copies of one
+  text are thus left out of lists of sets of equal size, where they could not link.
+* Pairs.  First the set of each list with the fewest shingles of its own is held against the others, then, for lists whose sets have
   not ended in one component, those of the smaller components against the rest.  Each pair is verified on the
   sets themselves.  No list is capped; a list of many copies is linked by a star, not by all its pairs.
 
@@ -32,7 +35,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import binaries, blocks, mix, parallelism, ragged, raw_texts, read
@@ -42,6 +45,7 @@ from wattlake.session import stored
 
 BLOCK = 2 << 20
 SMALL = 11                       # sizes up to this send subsets
+TILE = (256, 1024)               # sets held against sets in one task, after the first links
 FIFTHS = 2                       # of the domain of shingles, for the first test
 U64 = np.uint64
 
@@ -253,6 +257,62 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(run, "a long, b long")
 
 
+def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that share a list and have not ended in one component.
+
+    Of two such sets at least one is not in the component of the list's hub.  So for each hub, its lists' sets
+    outside that component are held against all sets of these lists, in tiles of ``TILE`` rows that Spark deals
+    out; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
+    each other component is returned.
+    """
+    placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
+    several = placed.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    members = placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct()
+    hubs = members.where("vertex = hub").select("hub", F.col("label").alias("hub_label"))
+    members = members.join(hubs, "hub").withColumn("outside", F.col("label") != F.col("hub_label"))
+    tiles = members.groupBy("hub").agg(F.ceil(F.count_if("outside") / TILE[0]).cast("int").alias("n_x"),
+                                       F.ceil(F.count("*") / TILE[1]).cast("int").alias("n_y"))
+    dealt = members.join(tiles, "hub")
+    salt = F.pmod(F.xxhash64("vertex"), F.lit(1 << 30))
+    first = dealt.where("outside").withColumn("x", F.pmod(salt, F.col("n_x")).cast("int")) \
+        .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_y") - 1))).withColumn("asked", F.lit(True))
+    second = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n_x") - 1))) \
+        .withColumn("y", F.pmod(salt, F.col("n_y")).cast("int")).withColumn("asked", F.lit(False))
+    rows = first.unionByName(second).select("hub", "x", "y", "asked", "vertex", "label", "n", "most") \
+        .join(sets.select("vertex", "packed"), "vertex")
+    return rows.groupBy("hub", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def compare(table: pa.Table) -> pa.Table:
+    """Of one tile: for each asked set and other component, a similar set of it."""
+    unpack = zstandard.ZstdDecompressor()
+    asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
+    vertex, label, n, most = (table.column(name).to_numpy() for name in ("vertex", "label", "n", "most"))
+    values, counts = shingle_sets([unpack.decompress(item) for item in table.column("packed").to_pylist()])
+    names, place = np.unique(values, return_inverse=True)
+    parts = np.split(place, np.cumsum(counts)[:-1])
+    left, right = np.nonzero(asked)[0], np.nonzero(~asked)[0]
+    found: set[tuple[int, int]] = set()
+    width = int(np.clip((1 << 26) // max(1, len(names)), 8, TILE[0]))       # a table of at most 64 MB, unless sets are huge
+    for start in range(0, len(left), width):
+        some = left[start:start + width]
+        has = np.zeros((len(names), len(some)), np.uint8)
+        for column, i in enumerate(some):
+            has[parts[i], column] = 1
+        done: set[tuple[int, int]] = set()
+        for j in right:
+            fits = (label[some] != label[j]) & (n[some] <= most[j]) & (n[j] <= most[some])
+            if not fits.any():
+                continue
+            both = np.add.reduce(has[parts[j]], axis=0, dtype=np.uint32).astype(np.int64)
+            for column in np.nonzero(fits & (100 * both >= 75 * (counts[some] + counts[j] - both)))[0]:
+                if (int(some[column]), int(label[j])) not in done:
+                    done.add((int(some[column]), int(label[j])))
+                    found.add((int(vertex[some[column]]), int(vertex[j])))
+    pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(vertex, label) for every vertex of an edge: label is the smallest vertex it is connected with.
 
@@ -308,26 +368,22 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                   .mapInArrow(pack, "vertex long, n_shingles long, packed binary")
                   .join(mixed.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]), "sets")
     sets = stored(some.join(count_shared(some, "packed", False), "vertex")
-                  .where(F.col("n_shingles") - F.col("shared") <= n_least).select("vertex", "packed"), "sets")
-    lists = stored(shared_lists(sets), "lists")
-
-    hubs = lists.groupBy("list").agg(F.min("vertex").alias("a"))
-    stars = stored(lists.join(hubs, "list").where("vertex <> a")
-                   .select("a", F.col("vertex").alias("b")).distinct(), "pairs")
+                  .where(F.col("n_shingles") - F.col("shared") <= n_least)
+                  .select("vertex", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.col("shared")).alias("own"), "packed"), "sets")
+    one_list = Window.partitionBy("list")
+    lists = stored(shared_lists(sets).join(sets.drop("packed"), "vertex")
+                   .withColumn("most", F.floor(7 * (F.col("n") - F.col("own")) / 3) - F.col("n"))
+                   .withColumn("least", F.min("n").over(one_list)).where("most >= least")
+                   .withColumn("members", F.count("*").over(one_list)).where("members > 1")
+                   .withColumn("hub", F.first("vertex").over(one_list.orderBy("own", "vertex")))
+                   .select("list", "vertex", "n", "most", "hub"), "lists")
+
+    stars = stored(lists.where("vertex <> hub").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
+                   .distinct(), "pairs")
     edges = stored(verified(stars, sets), "links")
     labels = components(edges)
 
-    # lists whose sets lie in several components: the sets outside the largest one against all others of the list
-    placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
-    counts = placed.groupBy("list", "label").count()
-    main = counts.groupBy("list").agg(F.max(F.struct("count", "label")).alias("main"), F.count("*").alias("n")) \
-        .where("n > 1").select("list", F.col("main.label").alias("main"))
-    open_lists = placed.join(main, "list")
-    few = open_lists.where("label <> main").select("list", F.col("vertex").alias("x"), F.col("label").alias("label_x"))
-    pairs = few.join(open_lists.select("list", F.col("vertex").alias("y"), F.col("label").alias("label_y")), "list") \
-        .where("label_x <> label_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct() \
-        .join(stars, ["a", "b"], "left_anti")
-    more = stored(verified(pairs, sets), "links")
+    more = stored(compared(lists, labels, sets), "links")
     if not more.isEmpty():
         labels = components(edges.unionByName(more))
 
