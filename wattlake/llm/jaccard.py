@@ -338,13 +338,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, the columns ``keep``, n_shingles, component_id of every row.
+    """key, the columns ``keep``, n_shingles, component_id and group of every row.
 
     ``component_id`` is the smallest key among the rows connected by links, the row's own included; null keys are
     not the smallest of anything but themselves.  Texts without words (or null) have an empty set and no links.
-    Rows that repeat are one vertex and are all returned.  An empty table gives no rows.
+    ``group`` tells groups apart (rows without words share one number).  Rows that repeat are one vertex and are all
+    returned.  An empty table gives no rows.
     """
-    keep = [name for name in keep if name not in (key, "n_shingles", "component_id")]
+    keep = [name for name in keep if name not in (key, "n_shingles", "component_id", "group")]
     rows = df.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     carried = df.select(F.col(key).alias("__key"), F.col(key).cast("long").alias("doc"), *[F.col(f"`{name}`").alias(f"__{name}") for name in keep],
                         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -391,7 +392,8 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
     smallest = grouped.where("n_shingles > 0").groupBy("label").agg(F.min("doc").alias("component_id"))
     return grouped.join(smallest, "label", "left").select(
         F.col("__key").alias(key), *[F.col(f"__{name}").alias(name) for name in keep], "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"))
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
+        F.col("label").alias("group"))
 
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:
