@@ -188,6 +188,7 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
     """(vertex, shared): how many of a set's shingles (of the first test's domain) another set has, if any."""
     buckets = 2 * parallelism(rows.sparkSession)
+    homes = max(8, buckets // 8)                     # tallies are small; a row goes from each bucket to each home
 
     def tokens(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place = np.repeat(np.arange(len(counts)), counts)
@@ -195,7 +196,7 @@ def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
 
     def tally(table: pa.Table) -> pa.Table:
         vertex, shared = np.unique(received(table)[1], return_counts=True)
-        home = vertex % buckets
+        home = vertex % homes
         order = np.lexsort((vertex, home))
         present, first = np.unique(home[order], return_index=True)
         parts = np.split(order, first[1:]) if len(present) else []
