@@ -3,8 +3,13 @@
 A sum of doubles depends on the order in which partitions arrive, so a retried
 task can change the last digit and, at a rounding boundary, the result.  Meter
 measures are decimals with few digits; summing them as integers in units of
-10**-scale is exact, stays in generated code and costs the same as a double sum
-(a DECIMAL sum is about ten times slower).  Overflow raises under ANSI mode.
+10**-scale is exact and stays in generated code (a DECIMAL sum per row is about
+ten times slower).  A sum over rows is kept in two parts of a unit count, which
+hold any sum over 8e12 rows; sums of sums are DECIMAL(38).
+
+What is not a number, infinite, or larger than 2**62 units is null: it can
+neither stop a job nor hide in a total.  Digits beyond ``scale`` (default 6, a
+parameter of each function) are rounded.
 """
 
 from __future__ import annotations
@@ -12,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 4
+SCALE = 6
+LOW_BITS = 20                       # of a unit count, summed apart from the rest
 
 
 def _column(value: Column | str) -> Column:
@@ -28,8 +34,21 @@ def half_up(value: Column | str, digits: int) -> Column:
 
 
 def to_units(value: Column | str, scale: int = SCALE) -> Column:
-    """The value as a whole number of 10**-scale units."""
-    return F.rint(_column(value) * float(10 ** scale)).cast("bigint")
+    """The value as a whole number of 10**-scale units; null if it has none."""
+    scaled = _column(value).cast("double") * float(10 ** scale)
+    return F.when(F.abs(scaled) <= float(2 ** 62), F.rint(scaled).cast("bigint"))  # NaN is larger than any number
+
+
+def sum_units(units: Column | str) -> Column:
+    """Aggregate: the exact sum of unit counts as DECIMAL(38), without overflow and in generated code."""
+    units = _column(units)
+    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(38,0)")
+    return low + F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)")
+
+
+def total_units(units: Column | str) -> Column:
+    """Aggregate: the sum of sums of units."""
+    return F.sum(_column(units).cast("decimal(38,0)"))
 
 
 def from_units(units: Column | str, scale: int = SCALE) -> Column:
@@ -38,12 +57,12 @@ def from_units(units: Column | str, scale: int = SCALE) -> Column:
 
 def exact_sum(value: Column | str, scale: int = SCALE) -> Column:
     """Aggregate: sum that does not depend on row order."""
-    return from_units(F.sum(to_units(value, scale)), scale)
+    return from_units(sum_units(to_units(value, scale)), scale)
 
 
 def exact_avg(value: Column | str, scale: int = SCALE) -> Column:
     """Aggregate: mean over the non-null values, independent of row order."""
-    return F.try_divide(exact_sum(value, scale), F.count(_column(value)).cast("double"))
+    return F.try_divide(exact_sum(value, scale), F.count(to_units(value, scale)).cast("double"))
 
 
 def mean_from(units: Column | str, count: Column | str, scale: int = SCALE) -> Column:

@@ -112,17 +112,27 @@ def select_model(series: DataFrame, ratio: float = TRAIN_RATIO, alpha: float = R
 
 
 def recent_history(series: DataFrame, keys: Sequence[str] = (SERIES,), n: int = HORIZON) -> DataFrame:
-    """The last time and the last ``n`` loads of each series as an array, oldest first."""
-    tail = first_per_key(series, keys, [F.desc("ds")], n)
-    ordered = F.array_sort(F.collect_list(F.struct("ds", LOAD)))  # at most n entries
-    return tail.groupBy(*keys).agg(
-        F.max("ds").alias("last_ds"), F.transform(ordered, lambda row: row[LOAD]).alias("history"))
+    """The last time and the last ``n`` known loads of each series as an array, oldest first.
+
+    Hours without a load do not count as history, as in training; the last time is that of any row.
+    """
+    known = F.col(LOAD).isNotNull()
+    tail = first_per_key(series, keys, [F.desc(known), F.desc("ds")], n)
+    ordered = F.array_sort(F.collect_list(F.when(known, F.struct("ds", LOAD))))  # at most n entries
+    loads = tail.groupBy(*keys).agg(F.transform(ordered, lambda row: row[LOAD]).alias("history"))
+    ends = series.groupBy(*keys).agg(F.max("ds").alias("last_ds"))
+    return ends.join(loads, list(keys)).select(*keys, "last_ds", "history")
 
 
 def forecast_24h(model: Model, series: DataFrame, keys: Sequence[str] = (SERIES,), rmse: float = DEFAULT_RMSE,
-                 horizon: int = HORIZON, floor_kw: float = FLOOR_KW) -> DataFrame:
+                 horizon: int = HORIZON, floor_kw: float = FLOOR_KW, start_time: str | None = None,
+                 rmse_of: DataFrame | None = None) -> DataFrame:
     """J-11: recursive forecast of the next hours of every series.
 
+    The first hour is ``start_time``, or the hour after the series' last one.  ``rmse_of`` gives each series
+    its own error (columns ``keys`` and RMSE; one without it has ``rmse``).  The floor of 100 kW is that of
+    the whole campus; name another one for smaller series.
+
     A series is one row holding its last day of loads.  Each step adds the
     features of the next hour, applies the model and appends its prediction to
     the loads, which later steps read as lags.  The steps are narrow projections
@@ -130,6 +140,9 @@ def forecast_24h(model: Model, series: DataFrame, keys: Sequence[str] = (SERIES,
     nothing leaves the JVM.
     """
     state = recent_history(series, keys, HORIZON).withColumnRenamed("history", "loads")
+    if start_time is not None:
+        first = F.lit(start_time).cast(series.schema["ds"].dataType)
+        state = state.withColumn("last_ds", first - F.expr("INTERVAL '1' HOUR"))
     for step in range(horizon):
         at = F.col("last_ds") + F.expr(f"INTERVAL '{step + 1}' HOUR")
         newest = F.coalesce(F.try_element_at("loads", F.lit(-1)), F.lit(NO_HISTORY_KW))
@@ -144,7 +157,11 @@ def forecast_24h(model: Model, series: DataFrame, keys: Sequence[str] = (SERIES,
     at = F.expr("last_ds + make_dt_interval(0, step + 1)")
     rows = rows.select(*keys, at.alias("forecast_time"), F.hour(at).alias("hour_of_day"),
                        "step", "predicted_load_kw")
-    return confidence_band(rows, rmse).drop("step")
+    if rmse_of is None:
+        return confidence_band(rows, rmse).drop("step")
+    errors = rmse_of.select(*keys, F.col("RMSE").alias("_rmse"))
+    return confidence_band(rows.join(errors, list(keys), "left"), F.coalesce("_rmse", F.lit(float(rmse)))) \
+        .drop("step", "_rmse")
 
 
 def confidence_band(forecast: DataFrame, rmse: float | Column = DEFAULT_RMSE) -> DataFrame:

@@ -27,6 +27,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FEATURES = ("hour", "day_of_week", "power_kw", "voltage_v", "current_a", "power_factor")
 TREES = 100
 SAMPLE = 256
+OVERSAMPLE = 4  # readings a tree draws from, in samples
 CONTAMINATION = 0.02
 SEED = 42
 
@@ -46,20 +47,21 @@ def _uniform(*columns) -> Column:
 
 
 def training_sample(df: DataFrame, cols: Sequence[str] = FEATURES, trees: int = TREES, sample: int = SAMPLE,
-                    seed: int = SEED, key: str = "event_id") -> DataFrame:
+                    seed: int = SEED, key: str = "event_id", oversample: int = OVERSAMPLE) -> DataFrame:
     """J-01, sampling: ``sample`` distinct readings per tree, chosen by hash and thus repeatable.
 
-    A first hash keeps a pool of about 64 samples; copies of one event fall
+    A first hash keeps a pool of about ``trees * oversample`` samples, so that the
+    trees draw independently however large the table is; copies of one event fall
     together and count once (the pool is grouped by event, which combines before
-    its shuffle).  Inside the pool each tree keeps about four samples' worth by a
-    second hash and then takes the smallest hashes.
+    its shuffle).  Inside the pool each tree keeps about ``oversample`` samples'
+    worth by a second hash and then takes the smallest hashes.
     """
     known = df.dropna("any", subset=[*cols, key])
     distinct = known.agg(F.approx_count_distinct(key)).first()[0] or 1
-    share = min(1.0, 64.0 * sample / distinct)
+    share = min(1.0, float(trees) * oversample * sample / distinct)
     pool = known.where(_uniform(F.col(key), F.lit(seed)) < share) \
         .groupBy(key).agg(F.min(F.struct(*cols)).alias("reading"))
-    per_tree = min(1.0, 4.0 * sample / max(1.0, share * distinct))
+    per_tree = min(1.0, float(oversample) * sample / max(1.0, share * distinct))
     draws = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: F.struct(
         tree.alias("tree"), _uniform(F.col(key), F.lit(seed), tree).alias("draw")))
     # the outer form keeps the draws of each tree out of the filter on the raw rows

@@ -33,12 +33,15 @@ def latest_per_building(aggregates: DataFrame, buildings: DataFrame) -> DataFram
 
 
 def stream_timeline(aggregates: DataFrame, span: str = "40 minutes", limit: int = 40) -> DataFrame:
-    """D-20: campus load, voltage and buildings per window over the recent span, oldest first."""
+    """D-20: campus load, voltage and buildings of the newest ``limit`` windows of the span, oldest first.
+
+    An inclusive span of 40 minutes with a slide of one minute holds 41 windows; the oldest is left out.
+    """
     rows = latest_version(recent(aggregates, "window_end", span))
     return rows.groupBy("window_end").agg(
         half_up(exact_sum("avg_power_kw"), 1).alias("total_power_kw"),
         half_up(exact_avg("avg_voltage_v"), 1).alias("avg_voltage_v"),
-        F.count("*").alias("active_buildings")).orderBy("window_end").limit(limit)
+        F.count("*").alias("active_buildings")).orderBy(F.desc("window_end")).limit(limit).orderBy("window_end")
 
 
 def live_timeline(aggregates: DataFrame, span: str = "60 minutes") -> DataFrame:

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import add_calendar, hour_start
 from wattlake.functions.electrical import above, below
-from wattlake.functions.numeric import (exact_avg, exact_sum, from_units, half_up, mean_from, to_units)
+from wattlake.functions.numeric import (exact_avg, exact_sum, from_units, half_up, mean_from, sum_units, to_units,
+                                         total_units)
 from wattlake.operators.filters import at_latest
 from wattlake.schema import MEASURES, AlertLimits
 
@@ -32,16 +33,16 @@ def _cells(df: DataFrame, keys: Sequence[str], measures: Sequence[str] = MEASURE
     parts = [F.count("*").alias("n_rows"), F.count("event_id").alias("n_events"),
              F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min")]
     for name in measures:
-        parts += [F.sum(to_units(name)).alias(f"{name}_units"), F.count(name).alias(f"{name}_count")]
+        parts += [sum_units(to_units(name)).alias(f"{name}_units"), F.count(to_units(name)).alias(f"{name}_count")]
     return df.groupBy(*keys).agg(*parts)
 
 
 def _mean(name: str) -> Column:
-    return mean_from(F.sum(f"{name}_units"), F.sum(f"{name}_count"))
+    return mean_from(total_units(f"{name}_units"), F.sum(f"{name}_count"))
 
 
 def _total(name: str) -> Column:
-    return from_units(F.sum(f"{name}_units"))
+    return from_units(total_units(f"{name}_units"))
 
 
 def _summary(cells: DataFrame, keys: Sequence[str], *extra: Column, total: bool = True) -> DataFrame:
@@ -255,7 +256,7 @@ def kpis(df: DataFrame) -> DataFrame:
     metrics = ("power_kw", "voltage_v", "power_factor")
     parts = [F.count("*").alias("n_rows"),
              F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
-             F.sum(to_units("power_kw")).alias("units"), F.count("power_kw").alias("n_power"),
+             sum_units(to_units("power_kw")).alias("units"), F.count(to_units("power_kw")).alias("n_power"),
              F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min")]
     for name in metrics:
         present = F.when(F.col(name).isNotNull(), F.col("timestamp"))
@@ -276,7 +277,7 @@ def kpis(df: DataFrame) -> DataFrame:
         half_up(exact_sum("power_kw_now"), 2).alias("current_total_load_kw"),
         half_up(exact_avg("voltage_v_now"), 2).alias("avg_voltage"),
         half_up(exact_avg("power_factor_now"), 3).alias("avg_power_factor"),
-        half_up(mean_from(F.sum("units"), F.sum("n_power")), 2).alias("avg_power_kw"),
+        half_up(mean_from(total_units("units"), F.sum("n_power")), 2).alias("avg_power_kw"),
         half_up(F.max("power_max"), 2).alias("peak_power_kw"),
         half_up(F.min("power_min"), 2).alias("min_power_kw"))
 

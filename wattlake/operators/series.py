@@ -65,7 +65,8 @@ def backfill_lags(series: DataFrame, keys: Sequence[str] = (SERIES,), value: str
 def _mean_over(value, keys):
     """The exact mean of a column over a window partition."""
     group = Window.partitionBy(*keys)
-    return mean_from(F.sum(to_units(value)).over(group), F.count(value).over(group))
+    units = to_units(value)
+    return mean_from(F.sum(units.cast("decimal(38,0)")).over(group), F.count(units).over(group))
 
 
 def time_features(series: DataFrame, keys: Sequence[str] = (SERIES,), value: str = LOAD,

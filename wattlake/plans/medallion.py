@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import DAY_TEXT, HOUR_TEXT, hour_start
 from wattlake.functions.electrical import clamp_electrical, quality_flags
-from wattlake.functions.numeric import (exact_avg, exact_sum, half_up, mean_from, to_units)
+from wattlake.functions.numeric import (exact_avg, exact_sum, half_up, mean_from, sum_units, to_units,
+                                         total_units)
 from wattlake.operators.filters import valid_rows
 from wattlake.operators.joins import enrich_left
 from wattlake.operators.keyed import first_per_key
@@ -93,14 +94,14 @@ def daily_dispatch(silver_rows: DataFrame, contract: MartContract = MartContract
     24 rows a day.
     """
     hourly = silver_rows.groupBy(hour_start("timestamp").alias("hour_window")) \
-        .agg(F.sum(to_units("power_kw")).alias("units"))
+        .agg(sum_units(to_units("power_kw")).alias("units"))
     load = mean_from("units", F.lit(1))
     daily = hourly.groupBy(F.date_format("hour_window", DAY_TEXT).alias("dispatch_date")).agg(
         F.count("*").alias("active_hours"),
-        half_up(mean_from(F.sum("units"), F.count("units")), 2).alias("avg_campus_demand_kw"),
+        half_up(mean_from(total_units("units"), F.count("units")), 2).alias("avg_campus_demand_kw"),
         half_up(F.max(load), 2).alias("peak_campus_demand_kw"),
         half_up(F.min(load), 2).alias("min_campus_demand_kw"),
-        half_up(mean_from(F.sum("units"), F.lit(1)), 2).alias("total_daily_kwh"))
+        half_up(mean_from(total_units("units"), F.lit(1)), 2).alias("total_daily_kwh"))
     peak, limit = F.col("peak_campus_demand_kw"), float(contract.limit_kw)
     over = F.greatest(F.lit(0.0), peak - limit)
     tier = (F.when(peak > limit + TIER_3_MARGIN_KW, TIER_3)

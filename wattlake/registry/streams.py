@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
 from wattlake.operators import live, profiles
+from wattlake.operators.isolation_forest import isolation_forest_fit, with_features
 from wattlake.registry.base import register
 from wattlake.registry.profiles import NINE
 from wattlake.schema import TELEMETRY_COLUMNS
@@ -46,7 +47,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     folder = scratch_dir(spark, "stream-alerts")
     baselines = stored(profiles.meter_baselines(fx.readings(spark, sf_dir)), "baselines")
+    model = isolation_forest_fit(with_features(fx.readings(spark, sf_dir)))
     jobs.score_stream(event_stream(spark, sf_dir), baselines, f"{folder}/readings", f"{folder}/alerts",
-                      f"{folder}/checkpoint", interval=None).awaitTermination()
+                      f"{folder}/checkpoint", model, interval=None).awaitTermination()
     rows = spark.read.parquet(f"{folder}/alerts")
     return rows.select("event_id", "meter_id", "alert_type", "severity", "description")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,12 +12,17 @@ from wattlake.functions.calendar import add_calendar
 from wattlake.schema import MEASURES, TELEMETRY_CSV, TELEMETRY_JSON
 
 
+def finite(value: Column) -> Column:
+    """The number, or null if it is NaN or infinite."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def read_telemetry_csv(spark: SparkSession, path: str, calendar: bool = True) -> DataFrame:
     """A-02: typed readings with calendar columns; a row with any gap or bad number is dropped."""
     text = spark.read.schema(TELEMETRY_CSV).option("header", True).csv(path)
     typed = text.withColumns({
         "timestamp": F.col("timestamp").try_cast("timestamp_ntz"),
-        **{name: F.col(name).try_cast("double") for name in MEASURES}})
+        **{name: finite(F.col(name).try_cast("double")) for name in MEASURES}})
     whole = typed.dropna("any")
     return add_calendar(whole) if calendar else whole
 
@@ -41,8 +46,9 @@ def telemetry_stream(spark: SparkSession, source: str = "kafka", options: Mappin
 def parse_telemetry(raw: DataFrame, schema: StructType = TELEMETRY_JSON) -> DataFrame:
     """A-04: JSON bytes to typed columns.
 
-    A badly typed field is null; a message without an event id, which includes
+    A badly typed field is null, and so is NaN or an infinite number; a message without an event id, which includes
     unparsable text, is dropped.
     """
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("data"))
-    return parsed.select("data.*").where(F.col("event_id").isNotNull())
+    parsed = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
+    numbers = {field.name: finite(F.col(field.name)) for field in schema if field.dataType.typeName() in ("double", "float")}
+    return parsed.withColumns(numbers).where(F.col("event_id").isNotNull())

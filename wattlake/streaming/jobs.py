@@ -1,8 +1,10 @@
 """Sinks and the streaming queries.
 
 Every query has a checkpoint.  ``foreachBatch`` sinks write the micro-batch into
-its own ``batch_id=`` partition by dynamic overwrite: a batch that is retried
-after a failure replaces its earlier attempt instead of adding to it.
+its own partition, by day, stream and batch, by dynamic overwrite: a batch that is
+retried after a failure replaces its earlier attempt instead of adding to it.  The
+stream is the query's id, kept in its checkpoint, so a query with a new checkpoint
+does not overwrite an old one's batches.
 """
 
 from __future__ import annotations
@@ -27,15 +29,22 @@ def _trigger(writer, interval: str | None):
     return writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
 
 
-def _write_batch(df: DataFrame, batch_id: int, target: str) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+BATCH_COLUMNS = ("event_day", "stream", "batch_id")
+
+
+def _write_batch(df: DataFrame, batch_id: int, target: str, ts: str = "timestamp") -> None:
+    stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    day = F.to_date(ts) if ts in df.columns else F.lit(None).cast("date")
+    (df.withColumns({"written_at": F.unix_micros(F.current_timestamp()), "event_day": day,
+                     "stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")})
+     .hint("rebalance", F.col("event_day"))                        # a file per day and batch, unless a day is large
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(target))
+     .partitionBy(*BATCH_COLUMNS).parquet(target))
 
 
 def _as_served(df: DataFrame) -> DataFrame:
-    """Measures with the decimal types of the serving tables."""
-    return df.withColumns({name: F.col(name).cast(kind) for name, kind in SERVING_DECIMALS.items()
+    """Measures with the decimal types of the serving tables; what does not fit is null and cannot stop a stream."""
+    return df.withColumns({name: F.col(name).try_cast(kind) for name, kind in SERVING_DECIMALS.items()
                            if name in df.columns})
 
 
@@ -61,7 +70,7 @@ def sink_window_aggregates(averages: DataFrame, target: str, checkpoint: str,
         if jdbc:
             rows.write.format("jdbc").options(**{**JDBC_OPTIONS, **jdbc}).mode("append").save()
         else:
-            _write_batch(rows, batch_id, target)
+            _write_batch(rows, batch_id, target, "window_end")
 
     writer = averages.writeStream.outputMode("update").foreachBatch(write) \
         .option("checkpointLocation", checkpoint)
@@ -69,8 +78,8 @@ def sink_window_aggregates(averages: DataFrame, target: str, checkpoint: str,
 
 
 def read_window_aggregates(spark: SparkSession, target: str) -> DataFrame:
-    """The serving table; the batch number is the id by which a newer version wins."""
-    return spark.read.parquet(target).withColumn("id", F.col("batch_id").cast("bigint")).drop("batch_id")
+    """The serving table; the time a batch was written is the id by which a newer version wins."""
+    return spark.read.parquet(target).withColumnRenamed("written_at", "id").drop(*BATCH_COLUMNS)
 
 
 def sink_readings_and_alerts(readings: DataFrame, readings_target: str, alerts_target: str, checkpoint: str,
