@@ -38,6 +38,7 @@ HINT_OF = {word: group for group, words in HINTS.items() for word in words.split
 TAGS = ("article main section div p a li ul nav header footer aside form table td h1 h2 h3 span blockquote pre figure "
         "address").split()
 SPACE = re.compile(r"\s+")
+UNFINISHED = re.compile(r"<[A-Za-z/!][^<>]*\Z")       # a tag that the page's end cuts off
 
 
 class Node:
@@ -105,7 +106,7 @@ class Builder(HTMLParser):
 
 def parse(html: str) -> Node:
     builder = Builder()
-    builder.feed(html)
+    builder.feed(UNFINISHED.sub("", html))
     return builder.close()
 
 

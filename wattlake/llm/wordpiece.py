@@ -65,6 +65,8 @@ class PieceCounter:
 
     def count(self, word: bytes) -> int:
         """The number of greedy longest pieces of a word; 1 if some part of it matches none."""
+        if not word:
+            return 0
         node, pieces, edges = 0, 0, self.edges
         for byte in word:
             step = edges.get(node << 8 | byte)
