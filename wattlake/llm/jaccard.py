@@ -187,8 +187,8 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
     """(vertex, shared): how many of a set's shingles (of the first test's domain) another set has, if any."""
-    buckets = 2 * parallelism(rows.sparkSession)
-    homes = max(8, buckets // 8)                     # tallies are small; a row goes from each bucket to each home
+    buckets = max(4, parallelism(rows.sparkSession) // 2)   # few: a set's number is sent once to each
+    homes = max(8, buckets // 4)                     # tallies are small; a row goes from each bucket to each home
 
     def tokens(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place = np.repeat(np.arange(len(counts)), counts)
@@ -261,16 +261,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between sets that share a list and have not ended in one component.
 
-    Of two such sets at least one is not in the component of the list's hub.  So for each hub, its lists' sets
-    outside that component are held against all sets of these lists, in tiles of ``TILE`` rows that Spark deals
-    out; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
+    Of two such sets at least one is not in the component of the list's hub.  So for each component, the sets
+    outside it of the lists whose hubs it has are held against all sets of these lists, in tiles of ``TILE`` rows
+    that Spark deals out; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
     each other component is returned.
     """
     placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     several = placed.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     members = placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct()
     hubs = members.where("vertex = hub").select("hub", F.col("label").alias("hub_label"))
-    members = members.join(hubs, "hub").withColumn("outside", F.col("label") != F.col("hub_label"))
+    members = members.join(hubs, "hub").select(F.col("hub_label").alias("hub"), "vertex", "label", "n", "most").distinct() \
+        .withColumn("outside", F.col("label") != F.col("hub"))
     tiles = members.groupBy("hub").agg(F.ceil(F.count_if("outside") / TILE[0]).cast("int").alias("n_x"),
                                        F.ceil(F.count("*") / TILE[1]).cast("int").alias("n_y"))
     dealt = members.join(tiles, "hub")
