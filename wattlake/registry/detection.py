@@ -8,7 +8,8 @@ from wattlake import fixtures as fx
 from wattlake.functions.electrical import limit_rules
 from wattlake.operators import dispatch, incidents, profiles
 from wattlake.operators.alerts import alerts
-from wattlake.operators.isolation_forest import (isolation_forest_fit, isolation_forest_score, with_features)
+from wattlake.operators.isolation_forest import (CONTAMINATION, FEATURES, TREE_SCHEMA, IsolationForest,
+                                                 isolation_forest_fit, isolation_forest_score, with_features)
 from wattlake.registry.base import mean, register, rnd
 from wattlake.session import stored
 from wattlake.streaming.jobs import score_readings
@@ -59,6 +60,38 @@ def _(spark, sf_dir):
         "event_id", "meter_id", "timestamp", F.round("anomaly_score", 6).alias("anomaly_score"), "ml_anomaly")
 
 
+# Two trees grown on 8 readings: node arrays, a leaf points to itself and holds its path length.
+GIVEN_TREES = [
+    (0, [0, 0, 1, 0, 0], [50.0, 0.0, 210.0, 0.0, 0.0], [1, 1, 3, 3, 4], [2, 1, 4, 3, 4], [0.0, 4.5, 0.0, 2.0, 3.25], 8),
+    (1, [1, 0, 0], [190.0, 0.0, 0.0], [1, 1, 2], [2, 1, 2], [0.0, 1.0, 3.5], 8),
+]
+
+
+@register("isolation_forest_given_trees", """
+    SELECT event_id, ROUND(score, 6) + 0.0::DOUBLE AS anomaly_score, COALESCE(score < 0, FALSE) AS ml_anomaly
+    FROM (SELECT event_id, 0.5::DOUBLE - pow(2.0::DOUBLE, -(one + two) / 2 / (2 * (ln(7) + 0.5772156649015329) - 1.75)) AS score
+          FROM (SELECT event_id,
+                       CASE WHEN power_kw IS NULL OR voltage_v IS NULL THEN NULL WHEN power_kw <= 50 THEN 4.5::DOUBLE
+                            WHEN voltage_v <= 210 THEN 2.0::DOUBLE ELSE 3.25::DOUBLE END AS one,
+                       CASE WHEN voltage_v <= 190 THEN 1.0::DOUBLE ELSE 3.5::DOUBLE END AS two FROM telemetry))""")
+def _(spark, sf_dir):
+    trees = spark.createDataFrame(GIVEN_TREES, TREE_SCHEMA).select(
+        "*", F.lit(-0.5).alias("offset"), F.array(F.lit("power_kw"), F.lit("voltage_v")).alias("cols"))
+    found = isolation_forest_score(fx.readings(spark, sf_dir), IsolationForest.from_frame(trees))
+    return found.select("event_id", (F.round("anomaly_score", 6) + F.lit(0.0)).alias("anomaly_score"), "ml_anomaly")
+
+
+@register("isolation_forest_share", """
+    SELECT COUNT(*) AS scored, TRUE AS as_contaminated FROM telemetry
+    WHERE power_kw IS NOT NULL AND voltage_v IS NOT NULL AND current_a IS NOT NULL AND power_factor IS NOT NULL""")
+def _(spark, sf_dir):
+    """The fitted forest flags the share of readings it was told to, within half a percent of all."""
+    rows = with_features(fx.readings(spark, sf_dir)).dropna("any", subset=list(FEATURES))
+    found = isolation_forest_score(rows, isolation_forest_fit(rows))
+    share = F.count_if("ml_anomaly") / F.count("anomaly_score")
+    return found.agg(F.count("anomaly_score").alias("scored"), (F.abs(share - CONTAMINATION) <= 0.005).alias("as_contaminated"))
+
+
 # --- dispatch --------------------------------------------------------------
 # The campus load of each hour stands for its forecast; a day is a series.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
@@ -125,3 +126,38 @@ def _(spark, sf_dir):
     model = forecast.fit_ridge(split.where("is_train"))
     errors = series.regression_metrics(model.transform(split.where("NOT is_train")), keys=["series"])
     return forecast.forecast_24h(model, rows, floor_kw=0.0, rmse_of=errors)
+
+
+GIVEN = "0.5D * lag_1 + 0.25D * lag_24 + 0.125D * hour + 1D"        # a model whose coefficients are known
+
+
+@register("forecast_recursion", f"""
+    SELECT building_id, forecast_time, hour_of_day, predicted_load_kw,
+           GREATEST(0.0::DOUBLE, {rnd('predicted_load_kw - margin', 2)}) AS lower_ci_95,
+           {rnd('predicted_load_kw + margin', 2)} AS upper_ci_95
+    FROM (SELECT *, {rnd('1.96::DOUBLE * 45.0::DOUBLE * (1.0::DOUBLE + (step - 1) * 0.02::DOUBLE)', 2)} AS margin
+          FROM (WITH RECURSIVE ends AS (
+                    SELECT building_id, MAX(ds) AS last_ds FROM building_hours GROUP BY building_id ),
+                tails AS (
+                    SELECT building_id, list(total_power_kw ORDER BY ds) AS loads
+                    FROM (SELECT * FROM building_hours WHERE total_power_kw IS NOT NULL
+                          QUALIFY row_number() OVER (PARTITION BY building_id ORDER BY ds DESC) <= 24)
+                    GROUP BY building_id ),
+                run AS (
+                    SELECT building_id, 0 AS step, last_ds AS forecast_time, 0::BIGINT AS hour_of_day,
+                           COALESCE(loads, []::DOUBLE[]) AS loads
+                    FROM ends LEFT JOIN tails USING (building_id)
+                    UNION ALL
+                    SELECT building_id, step + 1, due, extract(hour FROM due)::BIGINT,
+                           list_append(loads, GREATEST(0.0::DOUBLE, {rnd(
+                               '0.5::DOUBLE * newest + 0.25::DOUBLE * COALESCE(loads[-24], newest)'
+                               ' + 0.125::DOUBLE * extract(hour FROM due) + 1.0::DOUBLE', 2)}))
+                    FROM (SELECT *, forecast_time + INTERVAL '1' HOUR AS due, COALESCE(loads[-1], 800.0::DOUBLE) AS newest
+                          FROM run WHERE step < 24) )
+                SELECT building_id, step, forecast_time, hour_of_day, loads[-1] AS predicted_load_kw
+                FROM run WHERE step > 0))""")
+def _(spark, sf_dir):
+    """The recursion with given coefficients, each building on its own history."""
+    model = SQLTransformer(statement=f"SELECT *, {GIVEN} AS prediction FROM __THIS__")
+    found = forecast.forecast_24h(model, per_building(spark, sf_dir), KEYS, floor_kw=0.0)
+    return found.withColumn("hour_of_day", F.col("hour_of_day").cast("bigint"))

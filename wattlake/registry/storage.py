@@ -79,12 +79,6 @@ def _(spark, sf_dir):
 
 # --- catalogs and serving --------------------------------------------------
 
-@register("dimensions", "SELECT m.*, b.building_name, b.category, b.zone, b.peak_capacity_kw "
-                        "FROM meters m JOIN buildings b ON m.building_id = b.building_id")
-def _(spark, sf_dir):
-    return fx.meters(spark, sf_dir).join(fx.buildings(spark, sf_dir), "building_id")
-
-
 @register("expand_meters", """
     SELECT concat('M', lpad(CAST(row_number() OVER (ORDER BY building_id, n) AS VARCHAR), 6, '0')) AS meter_id,
            building_id, category AS building_type, 'Smart Sub-Meter' AS meter_type, 'ACTIVE' AS status
