@@ -400,4 +400,4 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
 
 def op8_jaccard(spark, sf_dir: str) -> DataFrame:
     """The group of similar documents that each document belongs to."""
-    return similar_groups(read(spark, sf_dir, "documents"))
+    return similar_groups(read(spark, sf_dir, "documents")).drop("group")

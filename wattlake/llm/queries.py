@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import bpe, jaccard, licences, nearest, packing, pages, quality, repeats, sharding, wordpiece
+from wattlake.llm import bpe, jaccard, licences, nearest, oracles, packing, pages, quality, repeats, sharding, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": licences.op1_licences,
@@ -20,4 +20,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": packing.op9_packing,
     "op10_wordpiece": wordpiece.op10_wordpiece,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_repeats": oracles.REPEATS, "op8_jaccard": oracles.JACCARD}
