@@ -151,6 +151,26 @@ def test_repeats_keep_whole_characters():
     assert repeats.whole_characters(data, covered).tolist() == [True, True, False, False, False, True]
 
 
+def test_repeats_of_a_common_passage_are_spread(spark):
+    from pyspark.sql import functions as F
+    dice = random.Random(6)
+    word = lambda: "".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=dice.randint(2, 9)))
+    passage = " ".join(word() for _ in range(60))
+    docs = [(n, " ".join([*(word() for _ in range(12)), passage, *(word() for _ in range(12))])) for n in range(2000)]
+    docs += [(n + 2000, docs[n][1][20:]) for n in range(0, 2000, 50)]           # edges that others have, too
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    rows = df.select(F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int").alias("home"), F.col("doc_id").alias("doc"), "text")
+
+    def held(split):                                                             # the most bytes one bucket gets
+        found = Counter()
+        for row in repeats.sent(rows, 8, split).select("bucket", F.length("bytes").alias("n")).collect():
+            found[row["bucket"]] += row["n"]
+        return max(found.values()) / (sum(found.values()) / 8)
+    assert held(256) < 1.5 < 2 < held(1 << 40)
+    found = repeats.remove_repeats(df, split=256).selectExpr("doc_id", "n_bytes", "n_removed", "n_spans", "sha2(kept, 256)")
+    assert by_key(found.collect()) == by_key(without_repeats(docs))
+
+
 def test_repeats_odd_rows(odd, none):
     assert repeats.remove_repeats(odd, keep=("labels",)).count() == odd.count()
     assert repeats.remove_repeats(none).count() == 0

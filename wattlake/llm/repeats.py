@@ -8,10 +8,11 @@ they may be dealt by anything computed from the contents: every string of ``LENG
 smallest hash of the ``GRAM``-byte strings in it.  Neighbouring strings mostly share that key, so a document is a
 few runs of strings per hundred bytes, each with one key.
 
-1. keys     Each block of documents sends its distinct keys to the keys' buckets; a bucket tells the homes of
-            documents (hashes of their ids) which keys are in more than one document.
+1. keys     Each home of documents (a hash of their ids) sends its distinct keys to the keys' buckets, with the number
+            of different runs it has of each; a bucket tells the homes which keys are in more than one document.
 2. slices   Each home sends, for every run with such a key, the run's bytes once, with the smallest id of the
-            home's documents that have it: many copies in one home are one slice.
+            home's documents that have it: many copies in one home are one slice.  A key that too many slices carry
+            is split: its runs are cut into their strings, which are dealt each by its own hash.
 3. sorting  A bucket sorts the suffixes of its slices.  Prefix polynomial hashes over the bucket give the hash of any
             substring at once; suffixes are sorted by the hash of their first ``LENGTH`` bytes, and neighbours of equal
             hash are compared byte for byte, so a collision cannot remove anything.  Where the bytes differ, binary
@@ -19,9 +20,12 @@ few runs of strings per hundred bytes, each with one key.
             The smallest id of each class of equal suffixes goes back to the homes that sent them.
 4. marking  Each home marks what is covered, document by document.
 
-The text is shuffled once, by home; steps 2 and 4 share that exchange.  Buckets and homes follow the session's
+The text is shuffled once, by home; steps 1, 2 and 4 share that exchange.  Buckets and homes follow the session's
 shuffle partitions, as those follow the input.  A key that very many documents have (a passage in a third of them)
-reaches its bucket once per block, and its slices once per home.
+reaches its bucket once per home.  So do its slices where they are equal; but the runs at the passage's two edges take in
+each document's own neighbouring bytes and differ, one slice per document.  Such keys have more than ``SPLIT`` slices and
+more than ``PER_HOME`` per home: only their strings within the passage are equal, once per home and string, and the
+others are spread over all buckets.
 """
 
 from __future__ import annotations
@@ -31,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import binaries, blocks, mix, parallelism, ragged, raw_texts, read
+from wattlake.llm.common import binaries, mix, parallelism, ragged, raw_texts, read
 
 LENGTH, GRAM = 50, 16
 STRETCH = 4 << 20                     # bytes hashed at once
+SPLIT, PER_HOME = 4096, 4             # slices of a key, in all and per home that has it, from which on it is split
 LAST_ID = (1 << 63) - 1               # stands for a null id: after all others
 BASE = 0x9E3779B97F4A7C15 | 1
 CODES = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
@@ -205,64 +210,109 @@ def contents(texts: Texts, ids: np.ndarray, found: tuple[np.ndarray, ...]) -> tu
     return content, leader, ids[owner][leader]
 
 
-def send_keys(batches, buckets: int):
-    for batch in blocks(batches, "text", STRETCH):
-        texts, ids = Texts(raw_texts(batch, "text")), _ids(batch.column("doc"))
-        owner, _, _, key = texts.runs()
-        order, heads = _first_of(ids[owner], key)
-        key, low, high = key[order][heads], ids[owner][order][heads], np.zeros(0, np.int64)
-        if len(heads):
-            high = np.maximum.reduceat(ids[owner][order], heads)
-        homes = batch.column("home").to_numpy()[owner][order]
-        span = np.diff(np.append(heads, len(order)))
-        # every home of the block that has the key must hear of it
-        pairs = np.unique(np.column_stack([np.repeat(np.arange(len(heads)), span), homes]), axis=0) if len(heads) else \
-            np.zeros((0, 2), np.int64)
-        order, present, edges = by_bucket(key[pairs[:, 0]], buckets)
-        pairs = pairs[order]
-        columns = [[], [], [], [], []]
-        for number, bucket in enumerate(present):
-            some = pairs[edges[number]:edges[number + 1]]
-            some = some[np.lexsort((some[:, 0], some[:, 1]))]
-            of = some[:, 0]
-            for column, value in zip(columns, (int(bucket), key[of].tobytes(), packed(low[of]), packed(high[of] - low[of]),
-                                               packed(some[:, 1]))):
-                column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *map(binaries, columns[1:])],
-                                         ["bucket", "keys", "low", "more", "homes"])
+def different_runs(texts: Texts, first: np.ndarray, count: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """How many different runs each key has (ordered by key, ``heads`` where one begins); up to ``PER_HOME`` are not compared."""
+    span = np.diff(np.append(heads, len(first)))
+    some = np.nonzero(np.repeat(span > PER_HOME, span))[0]
+    number = np.repeat(np.arange(len(heads)), span)[some]
+    length = count[some] + LENGTH - 1
+    content = np.zeros(len(some), U64)
+    for at in range(0, len(some), 1 << 16):
+        part = length[at:at + (1 << 16)]
+        data = texts.data[ragged(first[some[at:at + (1 << 16)]], part)]
+        content[at:at + (1 << 16)] = mix(Prefixes(data).of(np.cumsum(part) - part, part) + part.astype(U64))
+    order = np.lexsort((content, number))
+    number, content = number[order], content[order]
+    new = np.append(True, (number[1:] != number[:-1]) | (content[1:] != content[:-1]))[:len(number)]
+    return np.where(span > PER_HOME, np.bincount(number[new], minlength=len(heads)), span)
+
+
+def send_keys(documents: pa.Table, buckets: int) -> pa.Table:
+    """Of one home: its keys and the number of different runs of each, to the keys' buckets.
+
+    Documents in different homes have different ids, so of ids it only tells whether a key has several (the last bit).
+    """
+    texts, ids = Texts(raw_texts(documents.combine_chunks().to_batches()[0], "text")), _ids(documents.column("doc"))
+    owner, first, count, key = texts.runs()
+    order, heads = _first_of(ids[owner], key)
+    key, holder, several = key[order][heads], ids[owner][order], np.zeros(0, bool)
+    if len(heads):
+        several = np.minimum.reduceat(holder, heads) != np.maximum.reduceat(holder, heads)
+    slices = (different_runs(texts, first[order], count[order], heads) * 2 + several).astype("<u4")
+    order, present, edges = by_bucket(key, buckets)
+    columns: list[list] = [[], [], []]
+    for number, bucket in enumerate(present):
+        of = order[edges[number]:edges[number + 1]]
+        for column, value in zip(columns, (int(bucket), key[of].tobytes(), slices[of].tobytes())):
+            column.append(value)
+    return pa.table({"bucket": pa.array(columns[0], pa.int32()),
+                     "home": pa.array([documents.column("home")[0].as_py()] * len(columns[0]), pa.int32()),
+                     **{name: binaries(column) for name, column in zip(("keys", "slices"), columns[1:])}})
 
 
-KEY_SCHEMA = "bucket int, keys binary, low binary, more binary, homes binary"
+KEY_SCHEMA = "bucket int, home int, keys binary, slices binary"
 
 
-def shared_keys(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each home the keys that it has and that are in more than one document."""
-    keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), U64)
-    low, more, homes = (np.concatenate([unpacked(x) for x in table.column(name).to_pylist()] or [np.zeros(0, np.int64)])
-                        for name in ("low", "more", "homes"))
+def shared_keys(table: pa.Table, split: int) -> pa.Table:
+    """Of one bucket: for each home the keys that it has and that are in more than one document, and which to split."""
+    blobs = table.column("keys").to_pylist()
+    keys = np.frombuffer(b"".join(blobs), U64)
+    homes = np.repeat(table.column("home").to_numpy(), [len(x) // 8 for x in blobs])
+    slices = np.frombuffer(b"".join(table.column("slices").to_pylist()), "<u4").astype(np.int64)
     order, heads = _first_of(keys)
-    out_homes, out_keys = [], []
+    out: list[list] = [[], [], []]
     if len(heads):
-        many = np.minimum.reduceat(low[order], heads) != np.maximum.reduceat((low + more)[order], heads)
-        chosen = order[np.repeat(many, np.diff(np.append(heads, len(order))))]
+        span = np.diff(np.append(heads, len(order)))
+        many = (span > 1) | (slices[order][heads] & 1 == 1)
+        carried = np.add.reduceat(slices[order] >> 1, heads)
+        large = np.empty(len(order), bool)
+        large[order] = np.repeat((carried > split) & (carried > PER_HOME * span), span)
+        chosen = order[np.repeat(many, span)]
         pairs = np.lexsort((keys[chosen], homes[chosen]))
         chosen = chosen[pairs]
         found, first = np.unique(homes[chosen], return_index=True)
-        for home, own in zip(found, np.split(keys[chosen], first[1:])):
-            out_homes.append(int(home))
-            out_keys.append(np.unique(own).tobytes())
-    return pa.table({"home": pa.array(out_homes, pa.int32()), "keys": binaries(out_keys)})
+        for home, own in zip(found, np.split(chosen, first[1:])):
+            for column, value in zip(out, (int(home), keys[own].tobytes(), keys[own[large[own]]].tobytes())):
+                column.append(value)
+    return pa.table({"home": pa.array(out[0], pa.int32()), "keys": binaries(out[1]), "split": binaries(out[2])})
+
+
+SHARED_SCHEMA = "home int, keys binary, split binary"
+
+
+def among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which keys are among some sorted ones."""
+    if not len(some):
+        return np.zeros(len(keys), bool)
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
+def cut(texts: Texts, found: tuple[np.ndarray, ...], split: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs, those with a split key cut into their strings; a string's key is a hash of its own bytes."""
+    owner, first, count, key = found
+    large = among(key, split)
+    if not large.any():
+        return found
+    strings = ragged(first[large], count[large])
+    own = np.zeros(len(strings), U64)
+    for at in range(0, len(strings), 1 << 17):
+        part = strings[at:at + (1 << 17)]
+        begin = int(part.min())
+        own[at:at + (1 << 17)] = mix(Prefixes(texts.data[begin:int(part.max()) + LENGTH]).of(part - begin, LENGTH))
+    return (np.append(owner[~large], np.repeat(owner[large], count[large])), np.append(first[~large], strings),
+            np.append(count[~large], np.ones(len(strings), count.dtype)), np.append(key[~large], own))
 
 
 def send_slices(documents: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
-    """Of one home: its runs with shared keys, each content once, to the keys' buckets."""
+    """Of one home: its runs with shared keys, those with split keys as strings, each content once, to the keys' buckets."""
     shared = np.unique(np.frombuffer(b"".join(replies.column("keys").to_pylist()), U64))
-    columns: list[list] = [[], [], [], [], [], []]
+    split = np.unique(np.frombuffer(b"".join(replies.column("split").to_pylist()), U64))
+    columns: list[list] = [[], [], [], [], [], [], []]
     if len(shared) and documents.num_rows:
         texts, ids = Texts(raw_texts(documents.combine_chunks().to_batches()[0], "text")), _ids(documents.column("doc"))
         found = texts.runs()
-        near = np.minimum(np.searchsorted(shared, found[3]), len(shared) - 1)
-        found = tuple(x[shared[near] == found[3]] for x in found)
+        wanted = among(found[3], shared)
+        found = cut(texts, tuple(x[wanted] for x in found), split)
         content, leader, low = contents(texts, ids, found)
         single = np.nonzero(leader == np.arange(len(leader)))[0]
         _, once = np.unique(content[single], return_index=True)   # repeated within a document
@@ -274,13 +324,14 @@ def send_slices(documents: pa.Table, replies: pa.Table, buckets: int) -> pa.Tabl
             some = single[edges[number]:edges[number + 1]]
             length = found[2][some] + LENGTH - 1
             for column, value in zip(columns, (int(bucket), home, content[some].tobytes(), packed(low[some]), packed(length),
-                                               texts.data[ragged(found[1][some], length)].tobytes())):
+                                               texts.data[ragged(found[1][some], length)].tobytes(),
+                                               b"" if number else split.tobytes())):   # comes back to step 4
                 column.append(value)
     return pa.table({"bucket": pa.array(columns[0], pa.int32()), "home": pa.array(columns[1], pa.int32()),
-                     **{name: binaries(column) for name, column in zip(("contents", "low", "lengths", "bytes"), columns[2:])}})
+                     **{name: binaries(column) for name, column in zip(("contents", "low", "lengths", "bytes", "split"), columns[2:])}})
 
 
-SLICE_SCHEMA = "bucket int, home int, contents binary, low binary, lengths binary, bytes binary"
+SLICE_SCHEMA = "bucket int, home int, contents binary, low binary, lengths binary, bytes binary, split binary"
 
 
 def sort_suffixes(data: np.ndarray, starts: np.ndarray, owner_low: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -326,22 +377,23 @@ def first_holders(table: pa.Table) -> pa.Table:
     least = sort_suffixes(data, ragged(begin, strings), np.repeat(low, strings), np.repeat(begin + length, strings))
     edges = np.cumsum(strings) - strings
     told = np.minimum.reduceat(least, edges) < low                # nothing to tell if the home's own id is the smallest
-    columns: list[list] = [[], [], [], []]
-    for number in np.unique(home[told]):
+    columns: list[list] = [[], [], [], [], []]
+    split = {number: keys for number, keys in zip(table.column("home").to_pylist(), table.column("split").to_pylist()) if keys}
+    for number in np.union1d(home[told], np.array(list(split), np.int32)):
         some = np.nonzero(told & (home == number))[0]
         for column, value in zip(columns, (int(number), content[some].tobytes(), packed(strings[some]),
-                                           packed(least[ragged(edges[some], strings[some])]))):
+                                           packed(least[ragged(edges[some], strings[some])]), split.get(int(number), b""))):
             column.append(value)
     return pa.table({"home": pa.array(columns[0], pa.int32()),
-                     **{name: binaries(column) for name, column in zip(("contents", "strings", "least"), columns[1:])}})
+                     **{name: binaries(column) for name, column in zip(("contents", "strings", "least", "split"), columns[1:])}})
 
 
-HOLDER_SCHEMA = "home int, contents binary, strings binary, least binary"
+HOLDER_SCHEMA = "home int, contents binary, strings binary, least binary, split binary"
 
 
 def covered_bytes(texts: Texts, ids: np.ndarray, replies: pa.Table) -> np.ndarray:
     """Which bytes of a home's texts lie in a string that a smaller id has."""
-    found = texts.runs()
+    found = cut(texts, texts.runs(), np.unique(np.frombuffer(b"".join(replies.column("split").to_pylist()), U64)))
     owner, first, count, _ = found
     content, _, low = contents(texts, ids, found)
     begin = np.zeros(len(texts.data) + LENGTH + 1, np.int32)
@@ -377,13 +429,22 @@ def whole_characters(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
     return np.repeat(np.logical_and.reduceat(covered, starts), np.diff(np.append(starts, len(data))))
 
 
+def sent(rows: DataFrame, buckets: int, split: int) -> DataFrame:
+    """The slices of all homes' documents (home, doc, text), by bucket."""
+    homes = rows.groupBy("home")
+    keys = homes.applyInArrow(lambda documents: send_keys(documents, buckets), KEY_SCHEMA)
+    shared = keys.groupBy("bucket").applyInArrow(lambda table: shared_keys(table, split), SHARED_SCHEMA)
+    return homes.cogroup(shared.groupBy("home")).applyInArrow(
+        lambda documents, replies: send_slices(documents, replies, buckets), SLICE_SCHEMA)
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
-                   characters: bool = False) -> DataFrame:
+                   characters: bool = False, split: int = SPLIT) -> DataFrame:
     """key, the columns ``keep``, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row.
 
     Texts are taken whole, as UTF-8; null is empty.  Rows with the same id are never held against each other; null
     ids come after all others.  With ``characters``, a character goes only if all its bytes do, so that what is
-    kept is text.  Columns in ``keep`` called like a result are replaced; an empty table gives no rows.
+    kept is text.  Columns in ``keep`` called like a result are replaced; an empty table gives no rows.  A key with more than ``split`` slices is split.
     """
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     keep = [name for name in keep if name not in (key, *results)]
@@ -391,13 +452,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
     rows = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("home"), F.col(key).cast("long").alias("doc"),
                      F.col(text).cast("string").alias("text"), F.col(key).alias("__key"),
                      *[F.col(f"`{name}`").alias(f"__{name}") for name in keep])
-    homes = rows.groupBy("home")
-
-    keys = rows.select("home", "doc", "text").mapInArrow(lambda batches: send_keys(batches, buckets), KEY_SCHEMA)
-    shared = keys.groupBy("bucket").applyInArrow(shared_keys, "home int, keys binary")
-    slices = homes.cogroup(shared.groupBy("home")).applyInArrow(
-        lambda documents, replies: send_slices(documents, replies, buckets), SLICE_SCHEMA)
-    holders = slices.groupBy("bucket").applyInArrow(first_holders, HOLDER_SCHEMA)
+    holders = sent(rows, buckets, split).groupBy("bucket").applyInArrow(first_holders, HOLDER_SCHEMA)
 
     schema = rows.select(F.col("__key").alias(key), *[F.col(f"__{name}").alias(name) for name in keep]).schema
     for name, kind in zip(results, ("long", "long", "long", "binary")):
@@ -419,7 +474,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
             [documents.column("__key"), *(documents.column(f"__{name}") for name in keep), pa.array(texts.lengths, pa.int64()),
              pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), binaries(kept)], names=[key, *keep, *results])
 
-    return homes.cogroup(holders.groupBy("home")).applyInArrow(finish, schema)
+    return rows.groupBy("home").cogroup(holders.groupBy("home")).applyInArrow(finish, schema)
 
 
 def op6_repeats(spark, sf_dir: str) -> DataFrame:
