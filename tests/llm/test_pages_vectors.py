@@ -76,6 +76,19 @@ def test_nearest_recall(spark):
         assert row.score == pytest.approx(vectors[row.query_id] @ vectors[row.vec_id], rel=1e-12)
 
 
+def test_nearest_recall_on_small_tables(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    for n in (1100, 2000):
+        rows = given.where(f"vec_id < {n}")
+        table = rows.select("vec_id", "embedding").toPandas()
+        ids = table["vec_id"].to_numpy()
+        expected = truth(ids, np.array(table["embedding"].tolist(), float), 20)
+        found = nearest.op5_nearest(spark, "/root/testdata/sf0.1") if n >= given.count() else \
+            nearest.search(rows, rows.where("vec_id % 20 = 0"), 20)
+        hits = [len(set(own["vec_id"]) & set(expected[key])) for key, own in found.toPandas().groupby("query_id")]
+        assert len(hits) == (ids % 20 == 0).sum() and np.mean(hits) / 20 >= 0.99
+
+
 def test_nearest_query_and_odd_rows(spark, sf_dir):
     found = nearest.op5_nearest(spark, sf_dir).toPandas()
     assert (found.groupby("query_id")["rank"].max() == 20).all() and (found["query_id"] != found["vec_id"]).all()

@@ -28,6 +28,7 @@ from wattlake.session import stored
 
 SAMPLE_ROWS = 8192        # rows the centres are fitted on: a bounded sample, the smallest hashes of the ids
 PROBE_SHARE = 0.7         # share of the lists a query scans, the most promising first; recall is measured in the tests
+LEAST_ROWS = 16384        # rows that the scanned lists have at least: smaller tables are scanned whole
 REACH = 2.5
 BLOCK_ROWS, GROUP_QUERIES = 4096, 2048
 COLUMN_BLOCKS = (16, 32, 48)
@@ -146,7 +147,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id",
                 hoped = vectors @ centres[:, :-1].T + np.sqrt((vectors * vectors).sum(1))[:, None] * spread
                 order = np.argsort(-hoped, axis=1, kind="stable")
                 found = counts[order].cumsum(1)
-                wanted = np.maximum(probes, 1 + (found < k + 1).sum(1))
+                wanted = np.maximum(probes, 1 + (found < max(k + 1, LEAST_ROWS)).sum(1))
                 owners, numbers = np.nonzero(np.arange(lists) < wanted[:, None])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(owners)), part.column(1).take(pa.array(owners)),
