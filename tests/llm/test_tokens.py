@@ -101,6 +101,20 @@ def test_packing(spark, sf_dir, documents, wild):
     assert (ordered[1:] >= ordered[:-1]).all()                   # neighbours on the curve are neighbours in sequences
 
 
+def test_packing_long_white_space(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = packing.Encoder(packing.ranks_file(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    n = packing.LONG_TEXT
+    for text in ("a" + " " * n + "b c", "a " + "\n" * (n + 1), " \t\u3000\x85" * n + "!x" + "\n" * (n - 1) + "1" + " " * n + "<|endoftext|>" + " " * n + "é",
+                 "x" + "\x1c" * n + "y"):
+        assert encoder.encode(text).tolist() == [*library.encode(text, add_special_tokens=False).ids, 1]
+    text = "x y" + "\n" * 2_000_000 + "z"
+    rows = packing.pack_documents(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).toPandas()
+    ids = encoder.encode(text)
+    assert encoder.coder.decode(ids[:-1].tolist()) == text
+    assert rows[rows["doc_id"] == 1]["doc_tokens"].unique().tolist() == [len(ids)] and rows["length"].sum() == len(ids) + 2
+
+
 def test_hilbert_steps_are_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), -1).reshape(-1, 3) * (1 << (packing.BITS - 3))
     path = grid[np.argsort(packing.hilbert(grid))] >> (packing.BITS - 3)

@@ -14,6 +14,7 @@ vocabulary as ranks, which is several times faster; the tests hold the two again
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ from wattlake.session import stored
 
 SLOTS, AXES, BITS = 512, 3, 10         # hashed token slots, dimensions and bits per dimension of the grid
 END_OF_TEXT, END_ID = "<|endoftext|>", 50256
-LONG_TEXT = 1 << 20                    # characters tokenized at once
+LONG_TEXT = 1 << 16                    # white-space characters from which on a run is encoded on its own
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")     # what \\s is in the pattern
 
 
 def projection(seed: int = 7) -> np.ndarray:
@@ -79,13 +81,33 @@ class Encoder:
         self.coder = tiktoken.Encoding("ranks", pat_str=pattern, special_tokens={},
                                        mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in pairs})
 
+    def ordinary(self, text: str) -> list[int]:
+        """The ids of a text without special tokens.
+
+        On a white-space run of a million characters the pattern's search would run out of stack.  All of a run but
+        its last character (at the text's end: all) is one match of the pattern, so long runs are taken out.
+        """
+        if len(text) < LONG_TEXT:
+            return self.coder.encode_ordinary(text)
+        ids: list[int] = []
+        done = 0
+        for run in WHITE.finditer(text):
+            begin, end = run.span()
+            if end - begin < LONG_TEXT:
+                continue
+            stop = end if end == len(text) else end - 1
+            ids += self.coder.encode_ordinary(text[done:begin])
+            ids += self.coder._encode_single_piece(text[begin:stop])
+            done = stop
+        return ids + self.coder.encode_ordinary(text[done:])
+
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, then id 1."""
         ids: list[int] = []
         for i, part in enumerate(text.split(END_OF_TEXT)):
             if i:
                 ids.append(END_ID)
-            ids += self.coder.encode_ordinary(part)
+            ids += self.ordinary(part)
         ids.append(1)
         return np.array(ids, "<u4")
 
