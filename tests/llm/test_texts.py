@@ -7,6 +7,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 from wattlake.llm import jaccard, licences, quality, repeats, sharding
@@ -239,6 +241,19 @@ def test_similar_sets_share_a_signature():
             assert a & b, (size, gone)
 
 
+def test_similar_counts_colliding_shingles(monkeypatch):
+    one = np.array([7, 7 + (4 << 32), 7 + (8 << 32), 1 << 34], np.uint64)       # three are the same in bucket and 32 bits
+    two = np.append(one[:3], np.uint64(3 << 34) + np.uint64(5))
+    monkeypatch.setattr(jaccard, "sets_of", lambda batch: (np.concatenate([one, two]), np.array([4, 4])))
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b"])], ["text"])
+    whole = lambda values, counts: (values, np.repeat(np.arange(len(counts)), counts))
+    sent = [row for _ in range(2) for row in jaccard.send([batch], "text", 4, whole)]    # the sets are in two blocks
+    found = jaccard.tally(pa.Table.from_batches(sent).filter(pc.field("bucket") == 0), 1)
+    assert np.frombuffer(found.column("shared")[0].as_py(), "<u4").tolist() == [3, 3]
+    assert sorted(jaccard.unpacked(found.column("vertices")[0].as_py())) == sorted(
+        jaccard.set_numbers(np.concatenate([one, two]), np.array([4, 4])))
+
+
 def test_similar_odd_rows(odd, none):
     rows = jaccard.similar_groups(odd, keep=("labels",)).collect()
     assert len(rows) == odd.count() and {row["component_id"] for row in rows if row["doc_id"] == 5} == {5}

@@ -147,7 +147,8 @@ def send(batches, column: str, buckets: int, what) -> Iterator[pa.RecordBatch]:
     """Hashes of each block's different sets, as ``what`` makes them, with the sets' numbers, by bucket.
 
     A hash is kept to 32 bits besides its bucket.  Buckets follow the input, so chance meetings stay as rare at any
-    size; they let a set through a test or cost a comparison, no more.
+    size; they let a set through a test or cost a comparison, no more.  Hashes of one set that are the same in these
+    bits are in ``again``, once less than there are, so that none is missing from a count.
     """
     for batch in blocks(batches, column, BLOCK):
         values, counts = sets_of(batch)
@@ -157,16 +158,23 @@ def send(batches, column: str, buckets: int, what) -> Iterator[pa.RecordBatch]:
         starts = np.cumsum(counts) - counts
         found, place = what(values[ragged(starts[once], counts[once])], counts[once])
         bucket = (found >> U64(32)) % U64(buckets)
-        order = np.lexsort((place, bucket))
+        short = found.astype("<u4")
+        order = np.lexsort((short, place, bucket))
+        same = np.zeros(len(order), bool)
+        if len(order):
+            same[1:] = (short[order][1:] == short[order][:-1]) & (place[order][1:] == place[order][:-1]) \
+                & (bucket[order][1:] == bucket[order][:-1])
         present, first = np.unique(bucket[order], return_index=True)
         if len(present):
             parts = np.split(order, first[1:])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(present.astype(np.int32)), binaries([found[some].astype("<u4").tobytes() for some in parts]),
-                 binaries([packed(vertex[once][place[some]]) for some in parts])], ["bucket", "hashes", "vertices"])
+                [pa.array(present.astype(np.int32)), binaries([short[some].tobytes() for some in parts]),
+                 binaries([packed(vertex[once][place[some]]) for some in parts]),
+                 binaries([vertex[once][place[some[twice]]].tobytes() for some, twice in zip(parts, np.split(same, first[1:]))])],
+                ["bucket", "hashes", "vertices", "again"])
 
 
-HASH_SCHEMA = "bucket int, hashes binary, vertices binary"
+HASH_SCHEMA = "bucket int, hashes binary, vertices binary, again binary"
 
 
 def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -185,6 +193,29 @@ def received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return value[several], vertex[several]
 
 
+def tally(table: pa.Table, homes: int) -> pa.Table:
+    """Of one bucket: how many of each set's shingles another set has, to the homes of the sets.
+
+    Shingles that a set's hashes do not tell apart count by their number, whether shared or not: a count may be too
+    large by them, never too small.
+    """
+    vertex, shared = np.unique(received(table)[1], return_counts=True)
+    again: dict[int, int] = {}                                       # the same from each block that has the set
+    for blob in table.column("again").to_pylist():
+        for number, times in zip(*np.unique(np.frombuffer(blob, np.int64), return_counts=True)):
+            again[int(number)] = max(int(times), again.get(int(number), 0))
+    if again:
+        more = np.array(sorted(again.items()), np.int64)
+        vertex, place = np.unique(np.append(vertex, more[:, 0]), return_inverse=True)
+        shared = np.bincount(place, np.append(shared, more[:, 1]), len(vertex)).astype(np.int64)
+    home = vertex % homes
+    order = np.lexsort((vertex, home))
+    present, first = np.unique(home[order], return_index=True)
+    parts = np.split(order, first[1:]) if len(present) else []
+    return pa.table({"home": pa.array(present.astype(np.int32)), "vertices": binaries([packed(vertex[some]) for some in parts]),
+                     "shared": binaries([shared[some].astype("<u4").tobytes() for some in parts])})
+
+
 def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
     """(vertex, shared): how many of a set's shingles (of the first test's domain) another set has, if any."""
     buckets = max(4, parallelism(rows.sparkSession) // 2)   # few: a set's number is sent once to each
@@ -194,15 +225,6 @@ def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
         place = np.repeat(np.arange(len(counts)), counts)
         return (values[sampled(values)], place[sampled(values)]) if part else (values, place)
 
-    def tally(table: pa.Table) -> pa.Table:
-        vertex, shared = np.unique(received(table)[1], return_counts=True)
-        home = vertex % homes
-        order = np.lexsort((vertex, home))
-        present, first = np.unique(home[order], return_index=True)
-        parts = np.split(order, first[1:]) if len(present) else []
-        return pa.table({"home": pa.array(present.astype(np.int32)), "vertices": binaries([packed(vertex[some]) for some in parts]),
-                         "shared": binaries([shared[some].astype("<u4").tobytes() for some in parts])})
-
     def total(table: pa.Table) -> pa.Table:
         vertex = np.concatenate([unpacked(x) for x in table.column("vertices").to_pylist()])
         vertex, place = np.unique(vertex, return_inverse=True)
@@ -210,7 +232,7 @@ def count_shared(rows: DataFrame, column: str, part: bool) -> DataFrame:
         return pa.table({"vertex": pa.array(vertex), "shared": pa.array(shared.astype(np.int64))})
 
     return rows.select(column).mapInArrow(lambda batches: send(batches, column, buckets, tokens), HASH_SCHEMA) \
-        .groupBy("bucket").applyInArrow(tally, "home int, vertices binary, shared binary") \
+        .groupBy("bucket").applyInArrow(lambda table: tally(table, homes), "home int, vertices binary, shared binary") \
         .groupBy("home").applyInArrow(total, "vertex long, shared long")
 
 
