@@ -277,6 +277,18 @@ def test_shards_are_uniform():
     assert matrix.sum(1).tolist() == [30, 70, 0, 50] and sorted(matrix.sum(0)) == [37, 37, 38, 38]
 
 
+def test_shards_of_many_rows_follow_the_law():
+    dice = np.random.default_rng(2)
+    few = [sharding.hypergeometric(dice, 500_000_000, 1_000_000_000, 3) for _ in range(20_000)]
+    for count, share in enumerate((8 / 27, 12 / 27, 6 / 27, 1 / 27)):
+        assert abs(np.mean(np.array(few) == count) - share) < 4 * (share * (1 - share) / 20_000) ** 0.5
+    many = [sharding.hypergeometric(dice, 10 ** 9, 3 * 10 ** 9, 4 * 10 ** 8) for _ in range(400)]
+    spread = (4e8 * .25 * .75 * .9) ** 0.5
+    assert abs(np.mean(many) - 10 ** 8) < 4 * spread / 20 and 0.85 < np.std(many) / spread < 1.15
+    assert sharding.hypergeometric(dice, 10 ** 9, 5, 10 ** 9 + 3) in range(10 ** 9 - 2, 10 ** 9 + 1)
+    assert sharding.communication_matrix([3 * 10 ** 9, 1, 5], 2, 1).sum(0).tolist() == [1_500_000_003] * 2
+
+
 def test_shards_odd_rows(odd, none):
     rows = sharding.shuffle_into_shards(odd, 4).toPandas()
     assert len(rows) == odd.count() and rows.groupby("shard").size().max() <= 3 and "labels" in rows

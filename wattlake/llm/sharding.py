@@ -44,8 +44,8 @@ def communication_matrix(rows: list[int], shards: int, seed: int) -> np.ndarray:
 def hypergeometric(generator: np.random.Generator, good: int, bad: int, drawn: int) -> int:
     """How many of ``drawn`` places are good.
 
-    Numpy's generator stops at 1e9 places; beyond, the normal law with the same mean and variance is drawn, which
-    at such counts differs by less than a place.  Shard sizes stay exact either way.
+    Numpy's generator stops at 1e9 places; beyond, the same law is drawn by inversion: probabilities relative to the
+    mode's, by the ratios of neighbours, over all counts that a draw of 53 bits can reach.
     """
     if not drawn or not good:
         return 0
@@ -55,8 +55,13 @@ def hypergeometric(generator: np.random.Generator, good: int, bad: int, drawn: i
         return int(generator.hypergeometric(good, bad, drawn))
     share = drawn * good / (good + bad)
     spread = (share * (1 - good / (good + bad)) * (good + bad - drawn) / (good + bad - 1)) ** 0.5
-    return int(min(good, drawn, max(0, drawn - bad, round(generator.normal(share, spread)))))
-
+    mode, reach = (drawn + 1) * (good + 1) // (good + bad + 2), 60 + int(12 * spread)
+    low, high = max(0, drawn - bad, mode - reach), min(good, drawn, mode + reach)
+    x = np.arange(low, high, dtype=np.float64)
+    ratio = (good - x) * (drawn - x) / ((x + 1) * (bad - drawn + x + 1))       # of the probabilities of x + 1 and x
+    below = np.cumprod(1 / ratio[:mode - low][::-1])[::-1]
+    sums = np.cumsum(np.concatenate([below, [1.0], np.cumprod(ratio[mode - low:])]))
+    return low + min(int(np.searchsorted(sums, generator.random() * sums[-1], side="right")), high - low)
 
 
 
