@@ -46,3 +46,52 @@ SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles,
        CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE i.component_id END AS component_id
 FROM sets s LEFT JOIN texts t ON t.shingles = s.shingles LEFT JOIN ids i ON i.vertex = t.vertex
 """
+
+# Integer BM25 of every document for every item; the terms' letters A to Z are lowered first.
+LEXICAL = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents ),
+asked AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark ),
+items AS (SELECT item_id, term, COUNT(*) AS times FROM asked GROUP BY item_id, term ),
+sizes AS (SELECT COUNT(*)::BIGINT AS docs, SUM(len(w))::BIGINT AS total FROM words WHERE len(w) > 0 ),
+tf AS (SELECT doc_id, n, term, COUNT(*)::BIGINT AS tf
+       FROM (SELECT doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM words) GROUP BY doc_id, n, term ),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+            FROM (SELECT term, COUNT(*)::BIGINT AS df FROM tf GROUP BY term), sizes ),
+scores AS (
+    SELECT i.item_id, t.doc_id,
+           SUM(i.times * w.weight * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * t.n * s.docs) // s.total))))::BIGINT AS score
+    FROM items i JOIN tf t ON t.term = i.term JOIN weights w ON w.term = i.term CROSS JOIN sizes s
+    GROUP BY i.item_id, t.doc_id ),
+ranked AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+           FROM scores WHERE score > 0 )
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+# Every anchor's product with every row.
+NEGATIVES = """
+WITH vectors AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 ),
+scores AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS alike, list_inner_product(a.v, r.v)::BIGINT AS score
+    FROM vectors a JOIN vectors r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id ),
+positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score
+    FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scores WHERE alike)
+    WHERE place <= 5 ),
+ranked AS (
+    SELECT p.anchor_id, positive_id,
+           (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+           id AS negative_id, positive_score, score AS negative_score
+    FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT alike
+         AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score )
+SELECT * FROM ranked WHERE rank <= 3
+"""

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattlake.llm import bpe, jaccard, licences, nearest, oracles, packing, pages, quality, repeats, sharding, wordpiece
+from wattlake.llm import (bpe, convnet, jaccard, lexical, licences, nearest, negatives, oracles, packing, pages, quality,
+                          repeats, sharding, wordpiece)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licences": licences.op1_licences,
@@ -19,5 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": jaccard.op8_jaccard,
     "op9_packing": packing.op9_packing,
     "op10_wordpiece": wordpiece.op10_wordpiece,
+    "op11_lexical": lexical.op11_lexical,
+    "op12_convnet": convnet.op12_convnet,
+    "op13_negatives": negatives.op13_negatives,
 }
-ORACLES: dict[str, str] = {"op6_repeats": oracles.REPEATS, "op8_jaccard": oracles.JACCARD}
+ORACLES: dict[str, str] = {"op6_repeats": oracles.REPEATS, "op8_jaccard": oracles.JACCARD,
+                           "op11_lexical": oracles.LEXICAL, "op13_negatives": oracles.NEGATIVES}
