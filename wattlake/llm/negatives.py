@@ -68,7 +68,8 @@ def segment_levels(sums: np.ndarray, gaps: np.ndarray) -> list[tuple[np.ndarray,
         levels.append((sums / np.sqrt(length), np.sqrt(np.maximum(0, energy - sums * sums / length))))
         if sums.shape[1] < 4:
             return levels[::-1]
-        sums, energy, length = sums.reshape(len(sums), -1, 4).sum(2), energy.reshape(len(energy), -1, 4).sum(2), 4 * length
+        fours = (len(sums), sums.shape[1] // 4, 4)
+        sums, energy, length = sums.reshape(fours).sum(2), energy.reshape(fours).sum(2), 4 * length
 
 
 class Side:
