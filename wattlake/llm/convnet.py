@@ -147,17 +147,20 @@ def fold(key: str) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
                   rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> DataFrame:
-    """(text, label): labelled documents outside the held-out fold with the smallest hashes, bounded in rows and bytes.
+    """(text, label): documents of the labels outside the held-out fold with the smallest hashes, bounded in rows and bytes.
 
-    Texts that alone take more than a sixteenth of the bytes are left out of the sample.  An id with several labels
-    or texts gives a row for each pair.
+    The labels are chosen first, so that the documents are joined with ``rows`` ids at most and not exchanged.  Texts
+    that alone take more than a sixteenth of the bytes are left out of the sample.  An id with several labels or texts
+    gives a row for each pair.
     """
+    hashed = F.xxhash64("key").alias("hash")
     known = labels.select(F.col(key).cast("long").alias("key"), F.col(label).cast("int").alias("label")) \
         .where("key IS NOT NULL AND label IN (0, 1)").where(fold("key") != 0).distinct()
+    known = known.select("*", hashed).orderBy("hash", "key", "label").limit(rows)
     length = F.octet_length("text")
-    found = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")) \
-        .where(F.col("text").isNotNull() & (length <= size // 16)).join(known, "key")
-    chosen = found.withColumn("hash", F.xxhash64("key")).orderBy("hash", "key", "label", "text").limit(rows)
+    chosen = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text")) \
+        .where(F.col("text").isNotNull() & (length <= size // 16)).join(F.broadcast(known), "key") \
+        .orderBy("hash", "key", "label", "text").limit(rows)
     before = F.sum(length).over(Window.orderBy("hash", "key", "label", "text").rowsBetween(Window.unboundedPreceding, 0))
     return chosen.withColumn("upto", before).where(F.col("upto") <= size).select("text", "label")
 
