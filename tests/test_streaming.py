@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wattlake.operators import live, profiles
 from wattlake.operators.isolation_forest import isolation_forest_fit, with_features
+from wattlake.functions.calendar import add_partitions
 from wattlake.sources.lake import compact_lake, read_lake
 from wattlake.sources.telemetry import parse_telemetry, telemetry_stream
 from wattlake.streaming import jobs
@@ -91,10 +92,25 @@ def test_two_sinks_of_one_stream_and_restart(spark, tmp_path):
     lake = read_lake(spark, folders[1])
     assert lake.count() == 15 and lake.select("event_id").distinct().count() == 15  # nothing twice
     assert {"year", "month", "day"} <= set(lake.columns)
+    report = compact_lake(spark, folders[1]).first()                     # in place, and the stream goes on
+    assert (report["status"], report["files_before"], report["files_after"]) == ("COMPACTED", 2, 1)
+    put(tmp_path / "in", [event(n, n) for n in range(15, 18)])
+    for query in jobs.start_telemetry_queries(stream(spark, path), *folders, available_now=True):
+        query.awaitTermination()
+    assert sorted(row[0] for row in read_lake(spark, folders[1]).select("event_id").collect()) == [f"E{n:05d}" for n in range(18)]
+    assert not (tmp_path / "lake" / "_staged").exists() or not list((tmp_path / "lake" / "_staged").iterdir())
+
+
+def test_a_lake_of_the_file_sink_is_compacted_into_another_folder(spark, tmp_path):
+    path, lake = put(tmp_path / "in", [event(n, n) for n in range(10)]), str(tmp_path / "lake")
+    add_partitions(stream(spark, path)).writeStream.format("parquet").option("path", lake).partitionBy("year", "month", "day") \
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    with pytest.raises(ValueError):
+        compact_lake(spark, lake)
     with pytest.raises(ValueError):
-        compact_lake(spark, folders[1])
-    compact_lake(spark, folders[1], into=str(tmp_path / "compacted"))
-    assert read_lake(spark, str(tmp_path / "compacted")).count() == 15
+        jobs.stream_to_lake(stream(spark, path), lake, str(tmp_path / "cp2"), None)
+    compact_lake(spark, lake, into=str(tmp_path / "compacted"))
+    assert read_lake(spark, str(tmp_path / "compacted")).count() == 10
 
 
 def test_a_retried_batch_replaces_its_first_attempt(spark, tmp_path):

@@ -13,6 +13,8 @@ from wattlake.functions.calendar import add_partitions
 from wattlake.operators.profiles import campus_distincts
 from wattlake.schema import PARTITION_COLUMNS, TELEMETRY_COLUMNS
 from wattlake.session import path_exists, scratch_dir
+from wattlake.sources import files as store
+from wattlake.sources import swaps
 from wattlake.sources.telemetry import read_telemetry_csv
 
 LAKE_VIEW = "telemetry_lake"
@@ -23,10 +25,10 @@ def read_lake(spark: SparkSession, path: str, schema: StructType | None = None)
 
     Without a schema the footers of all files are merged.  On a large lake pass
     the schema: columns a file lacks are null and no footer is read up front.
+    A compaction or a stream's batch is seen whole or not at all.
     """
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    return swaps.read_settled(spark, path, lambda: reader.parquet(path))
 
 
 def _sized_for_files(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -97,7 +99,7 @@ def _per_partition(files: DataFrame) -> DataFrame:
     return files.groupBy("partition").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-def _written_by_stream(spark: SparkSession, path: str) -> bool:
+def _written_by_file_sink(spark: SparkSession, path: str) -> bool:
     """Whether a streaming file sink keeps its log of valid files in this folder."""
     return path_exists(spark, f"{path}/_spark_metadata")
 
@@ -106,41 +108,80 @@ def _day(name: str) -> Column:
     return F.regexp_extract("partition", rf"(?:^|/){name}=([^/]+)", 1).try_cast("int")
 
 
+SMALL_FILE = 96 << 20        # files from this size on are left as they are
+STALE_HOURS = 24             # age from which a staged copy belongs to a job that died
+ROUNDS = 3                   # times that days are listed again for files that came meanwhile
+SWAP_FILES = 20_000          # files that one swap replaces
+
+
+def _crowded_days(spark: SparkSession, path: str, min_files: int) -> DataFrame:
+    """(partition, files): the small files of each day that has at least ``min_files`` of them."""
+    is_day = _day("year").isNotNull() & _day("month").isNotNull() & _day("day").isNotNull()
+    return lake_files(spark, path).where(is_day & (F.col("bytes") < SMALL_FILE)).groupBy("partition") \
+        .agg(F.sort_array(F.collect_list("path")).alias("files")).where(F.size("files") >= max(2, min_files))
+
+
+def _compact_once(spark: SparkSession, path: str, min_files: int) -> bool:
+    """Merges the small files of the crowded days, some days at a time; whether there were any."""
+    listing = scratch_dir(spark, "compact-listing")
+    base = swaps.settle(spark, path)
+    _crowded_days(spark, path, min_files).write.parquet(listing)
+
+    def swap(days: list) -> None:
+        named = [name for day in days for name in day["files"]]
+        rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*named)
+        staged, moves = swaps.staged_files(spark, path, _sized_for_files(rows, PARTITION_COLUMNS), PARTITION_COLUMNS)
+        try:
+            swaps.publish(spark, path, staged, moves, [store.relative(spark, path, name) for name in named], base)
+        except swaps.Refused:
+            pass                                  # another compaction merged them; the next round lists again
+
+    waiting, held, found = [], 0, False
+    for day in spark.read.parquet(listing).toLocalIterator():
+        if waiting and held + len(day["files"]) > SWAP_FILES:
+            swap(waiting)
+            waiting, held = [], 0
+        waiting.append(day)
+        held, found = held + len(day["files"]), True
+    if waiting:
+        swap(waiting)
+    return found
+
+
 def compact_lake(spark: SparkSession, path: str, min_files: int = 2, into: str | None = None) -> DataFrame:
-    """A-13: merges the files of every day that has at least ``min_files``; returns a row per day.
+    """A-13: merges the small files of every day that has at least ``min_files``; returns a row per day.
 
-    The rows are first staged in the shared scratch folder and then replace their
-    days by a dynamic partition overwrite, so that a job that dies half way leaves
-    either the old files or the staged copy.  Other days are not touched.
+    Writers may go on.  The files that are merged are listed once, their rows are staged, and then exactly these files
+    are replaced (see ``swaps``): what others add meanwhile stays, and a day that grew is listed again, ``ROUNDS``
+    times at most.  Of two compactions of the same files one is refused and changes nothing.  A compaction that dies
+    leaves the old files, or a decided swap that the next reader or writer finishes; what it staged goes after a day.  Other days are not touched, and
+    files of a good size stay as they are, so that a large day is not written again each time.
 
-    With ``into`` the compacted lake is written to that new folder and ``path``
-    stays as it is.  A folder that a streaming file sink writes to needs this: the
-    sink's own log lists its files, which must not be replaced under it.
+    With ``into`` the compacted lake is written to that new folder and ``path`` stays as it is: for a folder that
+    Spark's streaming file sink writes, whose own log names its files.
     """
-    if into is None and _written_by_stream(spark, path):
-        raise ValueError(f"{path} belongs to a streaming sink; name a new folder with into=")
-    crowded = (F.col("files_before") >= max(2, min_files)) \
-        & _day("year").isNotNull() & _day("month").isNotNull() & _day("day").isNotNull()
-    listed = scratch_dir(spark, "compact-listing")
-    _per_partition(lake_files(spark, path)).select(
-        "partition", F.col("files").alias("files_before"), F.col("bytes").alias("bytes_before")) \
-        .withColumn("status", F.when(crowded, "COMPACTED").otherwise("SKIPPED")).write.parquet(listed)
-    before = spark.read.parquet(listed)
-    days = before.where("status = 'COMPACTED'").select(*[_day(name).alias(name) for name in PARTITION_COLUMNS])
+    if into is None and _written_by_file_sink(spark, path):
+        raise ValueError(f"{path} belongs to a streaming file sink; name a new folder with into=")
+    if into is None:
+        swaps.settle(spark, path)
+    listed = scratch_dir(spark, "compact-before")
+    per_day = _per_partition(lake_files(spark, path)).select(
+        "partition", F.col("files").alias("files_before"), F.col("bytes").alias("bytes_before"))
+    crowded = _crowded_days(spark, path, min_files).select("partition", F.lit(True).alias("crowded"))
+    per_day.join(crowded, "partition", "left") \
+        .withColumn("status", F.when(F.col("crowded"), "COMPACTED").otherwise("SKIPPED")).drop("crowded").write.parquet(listed)
     if into is not None:
         _sized_for_files(read_lake(spark, path), PARTITION_COLUMNS) \
             .write.partitionBy(*PARTITION_COLUMNS).parquet(into)
-    elif not days.isEmpty():
-        staged = scratch_dir(spark, "compact")
-        read_lake(spark, path).join(days, list(PARTITION_COLUMNS), "left_semi") \
-            .write.partitionBy(*PARTITION_COLUMNS).parquet(staged)
-        (_sized_for_files(read_lake(spark, staged), PARTITION_COLUMNS)
-         .write.partitionBy(*PARTITION_COLUMNS).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+    else:
+        for _ in range(ROUNDS):
+            if not _compact_once(spark, path, min_files):
+                break
+        store.drop_older(spark, f"{path}/{swaps.STAGED}", STALE_HOURS)
         spark.catalog.refreshByPath(path)
     after = _per_partition(lake_files(spark, into or path)) \
         .select("partition", F.col("files").alias("files_after"), F.col("bytes").alias("bytes_after"))
-    return before.join(after, "partition", "left").select(*REPORT_COLUMNS)
+    return spark.read.parquet(listed).join(after, "partition", "left").select(*REPORT_COLUMNS)
 
 
 def compaction_totals(report: DataFrame) -> DataFrame:

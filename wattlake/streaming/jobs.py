@@ -19,6 +19,8 @@ from wattlake.functions.calendar import add_partitions
 from wattlake.operators.alerts import alerts, evaluate
 from wattlake.operators.isolation_forest import IsolationForest, isolation_forest_score, with_features
 from wattlake.schema import PARTITION_COLUMNS, SERVING_DECIMALS, AlertLimits, StreamTiming
+from wattlake.session import path_exists
+from wattlake.sources import swaps
 from wattlake.streaming.windows import flatten_window, sliding_building_averages
 
 JDBC_OPTIONS = {"batchsize": "5000"}
@@ -32,8 +34,13 @@ def _trigger(writer, interval: str | None):
 BATCH_COLUMNS = ("event_day", "stream", "batch_id")
 
 
+def _stream_of(spark: SparkSession) -> str:
+    """The id that the running query keeps in its checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def _write_batch(df: DataFrame, batch_id: int, target: str, ts: str = "timestamp") -> None:
-    stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+    stream = _stream_of(df.sparkSession)
     day = F.to_date(ts) if ts in df.columns else F.lit(None).cast("date")
     (df.withColumns({"written_at": F.unix_micros(F.current_timestamp()), "event_day": day,
                      "stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("bigint")})
@@ -50,10 +57,27 @@ def _as_served(df: DataFrame) -> DataFrame:
 
 def stream_to_lake(readings: DataFrame, path: str, checkpoint: str,
                    interval: str | None = StreamTiming().lake_trigger) -> StreamingQuery:
-    """A-08: appends a stream of readings to the lake, exactly once."""
-    writer = (add_partitions(readings).writeStream.outputMode("append").format("parquet")
-              .option("path", path).option("checkpointLocation", checkpoint)
-              .partitionBy(*PARTITION_COLUMNS))
+    """A-08: appends a stream of readings to the lake, exactly once.
+
+    A micro-batch is staged and then moved into its days by one entry of the lake's log, which names the batch: a
+    retried batch finds its entry and is not written again.  The lake stays a plain folder of Parquet files, so batch
+    writers may append to it and ``compact_lake`` works in place.
+    """
+    spark = readings.sparkSession
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a streaming file sink, whose readers see only the files it wrote")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        name = f"{_stream_of(session)}/{batch_id}"
+        if swaps.find_batch(session, path, name) is not None:
+            swaps.settle(session, path)
+            return
+        rows = add_partitions(batch).hint("rebalance", *[F.col(column) for column in PARTITION_COLUMNS])
+        staged, moves = swaps.staged_files(session, path, rows, PARTITION_COLUMNS)
+        swaps.publish(session, path, staged, moves, batch=name)
+
+    writer = readings.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
 
 
