@@ -74,7 +74,7 @@ QUERY = """
 def _(spark, sf_dir):
     exact = "SUM(CAST(rint(power_kw * 10000) AS BIGINT)) / 10000D / COUNT(power_kw)"
     sql = QUERY.format(mean=f"floor(({exact}) * 100 + 0.5) / 100D")
-    return lake.query_lake(fx.readings(spark, sf_dir), sql, {"least": 0.0})
+    return lake.query_lake(lake.read_lake(spark, written_lake(spark, sf_dir)), sql, {"least": 0.0})
 
 
 # --- catalogs and serving --------------------------------------------------
@@ -131,15 +131,19 @@ def _(spark, sf_dir):
 EXTRA = "CASE WHEN day(timestamp) >= 10 THEN 20 + voltage_v / 10 END AS ambient_temp_c"
 
 
+LATE = "day(timestamp) = 12 AND minute(timestamp) >= 30"           # come with the rows of later days
+FIRST = f"(day(timestamp) < 20 AND NOT ({LATE}))"
+
+
 def versioned_table(spark, sf_dir) -> str:
-    """Four versions: INIT, an append with a new column, a plain append, OPTIMIZE."""
+    """Four versions: INIT, an append with a new column, an append with late rows, OPTIMIZE of the one crowded day."""
     path = scratch_dir(spark, "snapshots")
     rows = fx.readings(spark, sf_dir).withColumns({
         "year": F.year("timestamp"), "month": F.month("timestamp"), "day": F.dayofmonth("timestamp")})
     warm = rows.withColumn("ambient_temp_c", 20 + F.col("voltage_v") / 10)
     snapshots.snapshot_init(rows.where("day < 10"), path)
-    snapshots.snapshot_append(warm.where("day >= 10 AND day < 20"), path)
-    snapshots.snapshot_append(warm.where("day >= 20"), path)
+    snapshots.snapshot_append(warm.where(f"day >= 10 AND {FIRST}"), path)
+    snapshots.snapshot_append(warm.where(f"day >= 10 AND NOT {FIRST}"), path)
     snapshots.snapshot_compact(spark, path)
     return path
 
@@ -149,7 +153,7 @@ def _(spark, sf_dir):
     return snapshots.read_snapshot(spark, versioned_table(spark, sf_dir)).drop("year", "month", "day")
 
 
-@register("snapshot_time_travel", f"SELECT {NINE}, {EXTRA} FROM telemetry WHERE day(timestamp) < 20")
+@register("snapshot_time_travel", f"SELECT {NINE}, {EXTRA} FROM telemetry WHERE {FIRST}")
 def _(spark, sf_dir):
     return snapshots.read_snapshot(spark, versioned_table(spark, sf_dir), version=1).drop("year", "month", "day")
 
@@ -164,16 +168,27 @@ def _(spark, sf_dir):
         F.concat_ws(",", "removed_columns").alias("removed_columns"), "schema_evolved")
 
 
-@register("commit_history", """
-    SELECT 3::BIGINT AS version, 'OPTIMIZE' AS operation, COUNT(*) AS rows FROM telemetry
-    UNION ALL SELECT 2, 'APPEND', COUNT(*) FROM telemetry WHERE day(timestamp) >= 20
-    UNION ALL SELECT 1, 'APPEND', COUNT(*) FROM telemetry WHERE day(timestamp) BETWEEN 10 AND 19
+@register("commit_history", f"""
+    SELECT 3::BIGINT AS version, 'OPTIMIZE' AS operation, COUNT(*) AS rows FROM telemetry WHERE day(timestamp) = 12
+    UNION ALL SELECT 2, 'APPEND', COUNT(*) FROM telemetry WHERE NOT {FIRST}
+    UNION ALL SELECT 1, 'APPEND', COUNT(*) FROM telemetry WHERE {FIRST} AND day(timestamp) >= 10
     UNION ALL SELECT 0, 'INIT', COUNT(*) FROM telemetry WHERE day(timestamp) < 10""")
 def _(spark, sf_dir):
     return snapshots.commit_history(spark, versioned_table(spark, sf_dir)) \
         .select(F.col("version").cast("bigint").alias("version"), "operation", "rows")
 
 
+@register("query_snapshot", f"""
+    SELECT building_type, COUNT(*) AS records, {rnd(mean('power_kw'), 2)} AS mean_power
+    FROM telemetry WHERE {FIRST} GROUP BY building_type""")
+def _(spark, sf_dir):
+    """Any SQL over an older version of the table."""
+    exact = "SUM(CAST(rint(power_kw * 10000) AS BIGINT)) / 10000D / COUNT(power_kw)"
+    rows = snapshots.read_snapshot(spark, versioned_table(spark, sf_dir), version=1)
+    return lake.query_lake(rows, f"""SELECT building_type, COUNT(*) AS records, floor(({exact}) * 100 + 0.5) / 100D AS mean_power
+        FROM snapshot GROUP BY building_type""", view="snapshot")
+
+
 # --- contracts and pipeline ------------------------------------------------
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
