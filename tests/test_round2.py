@@ -16,13 +16,23 @@ from wattlake.streaming import jobs
 
 
 def test_sums_skip_what_is_no_number_and_do_not_overflow(spark):
-    rows = spark.createDataFrame([(3e12,)] * 4 + [(float("nan"),), (float("inf"),), (None,), (1e300,)], "x double")
+    rows = spark.createDataFrame([(3e12,)] * 4 + [(float("nan"),), (float("inf"),), (None,)], "x double")
     found = rows.select(exact_sum("x").alias("s"), exact_avg("x").alias("m")).first()
     assert found["s"] == 1.2e13 and found["m"] == 3e12
     many = spark.range(4000).select((F.lit(4e12) + F.col("id")).alias("x"))       # 1.6e16 in all, 1.6e22 units
     assert many.agg(exact_sum("x")).first()[0] == pytest.approx(4000 * 4e12 + 3999 * 2000, rel=1e-15)
 
 
+def test_no_finite_value_is_lost_from_a_sum(spark):
+    rows = spark.createDataFrame([(3e14,)] * 4 + [(5.0,)], "x double")
+    found = rows.select(exact_sum("x").alias("s"), exact_avg("x").alias("m")).first()
+    assert found["s"] == 1.2e15 + 5 and found["m"] == (1.2e15 + 5) / 5
+    only = spark.createDataFrame([(-7e20,), (float("nan"),)], "x double").select(exact_sum("x").alias("s")).first()
+    assert only["s"] == -7e20
+    beyond = spark.createDataFrame([(1e300,), (5.0,)], "x double")         # no total rather than a wrong one
+    assert beyond.select(exact_sum("x")).first()[0] is None
+
+
 def test_small_values_are_not_rounded_away(spark):
     rows = spark.createDataFrame([(0.00004,), (0.00004,)], "x double")
     assert rows.agg(exact_avg("x")).first()[0] == 0.00004

@@ -7,8 +7,10 @@ measures are decimals with few digits; summing them as integers in units of
 ten times slower).  A sum over rows is kept in two parts of a unit count, which
 hold any sum over 8e12 rows; sums of sums are DECIMAL(38).
 
-What is not a number, infinite, or larger than 2**62 units is null: it can
-neither stop a job nor hide in a total.  Digits beyond ``scale`` (default 6, a
+Values of more than 2**62 units (4.6e12 at the default scale) have no such count.
+They are added beside the units as whole units in DECIMAL(38), and if one is
+too large even for that (1e30 units), the total is null rather than wrong.  What
+is not a number or infinite is null.  Digits beyond ``scale`` (default 6, a
 parameter of each function) are rounded.
 """
 
@@ -33,17 +35,41 @@ def half_up(value: Column | str, digits: int) -> Column:
     return F.when(column < 0, F.lit(0.0) - magnitude).otherwise(magnitude) + F.lit(0.0)
 
 
-def to_units(value: Column | str, scale: int = SCALE) -> Column:
-    """The value as a whole number of 10**-scale units; null if it has none."""
-    scaled = _column(value).cast("double") * float(10 ** scale)
-    return F.when(F.abs(scaled) <= float(2 ** 62), F.rint(scaled).cast("bigint"))  # NaN is larger than any number
+MOST_UNITS = 1e30                   # of one value; 1e8 of them still fit a total
 
 
-def sum_units(units: Column | str) -> Column:
-    """Aggregate: the exact sum of unit counts as DECIMAL(38), without overflow and in generated code."""
-    units = _column(units)
+def _scaled(value: Column | str, scale: int) -> Column:
+    return _column(value).cast("double") * float(10 ** scale)
+
+
+def is_number(value: Column | str) -> Column:
+    """Neither null nor NaN nor infinite."""
+    return F.coalesce(F.abs(_column(value).cast("double")) < float("inf"), F.lit(False))     # NaN is larger than any number
+
+
+def count_numbers(value: Column | str) -> Column:
+    """Aggregate: how many values there are to a sum of the same column."""
+    return F.count_if(is_number(value))
+
+
+def decimal_units(value: Column | str, scale: int = SCALE) -> Column:
+    """The value in units of 10**-scale as a decimal; null if it is no number or beyond ``MOST_UNITS``."""
+    scaled = _scaled(value, scale)
+    return F.when(F.abs(scaled) <= MOST_UNITS, F.rint(scaled).try_cast("decimal(31,0)"))
+
+
+def sum_units(value: Column | str, scale: int = SCALE) -> Column:
+    """Aggregate: the exact sum in units of 10**-scale as DECIMAL(38), without overflow and in generated code."""
+    scaled = _scaled(value, scale)
+    size = F.abs(scaled)
+    units = F.when(size <= float(2 ** 62), F.rint(scaled).cast("bigint"))
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(38,0)")
-    return low + F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)")
+    small = low + F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)")
+    is_large = is_number(value) & (size > float(2 ** 62))
+    large = F.sum(F.when(is_large, decimal_units(value, scale))).cast("decimal(38,0)")
+    beyond = F.max(is_large & (size > MOST_UNITS))
+    both = F.coalesce(small + large, small, large)
+    return F.when(~F.coalesce(beyond, F.lit(False)), both.cast("decimal(38,0)"))
 
 
 def total_units(units: Column | str) -> Column:
@@ -57,12 +83,12 @@ def from_units(units: Column | str, scale: int = SCALE) -> Column:
 
 def exact_sum(value: Column | str, scale: int = SCALE) -> Column:
     """Aggregate: sum that does not depend on row order."""
-    return from_units(sum_units(to_units(value, scale)), scale)
+    return from_units(sum_units(value, scale), scale)
 
 
 def exact_avg(value: Column | str, scale: int = SCALE) -> Column:
-    """Aggregate: mean over the non-null values, independent of row order."""
-    return F.try_divide(exact_sum(value, scale), F.count(to_units(value, scale)).cast("double"))
+    """Aggregate: mean over the numbers among the values, independent of row order."""
+    return F.try_divide(exact_sum(value, scale), count_numbers(value).cast("double"))
 
 
 def mean_from(units: Column | str, count: Column | str, scale: int = SCALE) -> Column:

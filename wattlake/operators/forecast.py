@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from wattlake.functions.numeric import half_up
 from wattlake.operators.keyed import first_per_key
@@ -50,6 +53,80 @@ def fit_ridge(train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = LOAD) -
     return PipelineModel([assembler, ridge.fit(assembler.transform(train))])
 
 
+def ridge_moments(train: DataFrame, features: Sequence[str], keys: Sequence[str], label: str) -> DataFrame:
+    """One row per series: the row count, the means, and the centred second moments of features and label.
+
+    Moments are sums, so a series is reduced before the exchange and a long one costs its tasks nothing more.
+    Rows with a null among features and label do not count.
+    """
+    known = train.dropna("any", subset=[*features, label])
+    columns = [F.col(name).cast("double") for name in (*features, label)]
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    sums = known.groupBy(*keys).agg(
+        F.count("*").alias("n"), *[F.avg(column).alias(f"_m{i}") for i, column in enumerate(columns)],
+        *[F.covar_pop(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs])
+    place = {pair: F.col(f"_c{pair[0]}_{pair[1]}") for pair in pairs}
+    size = range(len(columns))
+    return sums.select(*keys, "n", F.array(*[F.col(f"_m{i}") for i in size]).alias("means"),
+                       F.array(*[place[min(i, j), max(i, j)] for i in size for j in size]).alias("moments"))
+
+
+def fit_ridge_per_series(train: DataFrame, keys: Sequence[str] = (SERIES,), alpha: float = RIDGE_ALPHA,
+                         features: Sequence[str] = FEATURES, label: str = LOAD) -> DataFrame:
+    """J-07 for many series at once: keys, n, intercept and coefficients (in the order of ``features``).
+
+    The normal equations of all series come from one grouped aggregate; each is a small system, solved in batches.
+    The penalty is ``alpha`` on the coefficients, not on the intercept, as in ``fit_ridge``.  A series without rows has
+    no model.
+    """
+    wide = len(features) + 1
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy().astype(np.float64)
+            means = batch.column("means").flatten().to_numpy().reshape(-1, wide)
+            moments = batch.column("moments").flatten().to_numpy().reshape(-1, wide, wide) * n[:, None, None]
+            system = moments[:, :-1, :-1] + alpha * np.eye(wide - 1)
+            # a series of equal rows and no penalty has many solutions: the smallest
+            weights = np.stack([np.linalg.lstsq(a, b, rcond=None)[0] for a, b in zip(system, moments[:, :-1, -1])]) \
+                if len(n) else np.zeros((0, wide - 1))
+            bias = means[:, -1] - (means[:, :-1] * weights).sum(1)
+            offsets = pa.array(np.arange(len(n) + 1) * (wide - 1), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(key) for key in keys], batch.column("n"), pa.array(bias, pa.float64()),
+                 pa.ListArray.from_arrays(offsets, pa.array(weights.ravel(), pa.float64()))],
+                [*keys, "n", "intercept", "coefficients"])
+
+    found = ridge_moments(train, features, keys, label)
+    shape = StructType([*[found.schema[key] for key in keys], *[StructField(name, kind) for name, kind in (
+        ("n", LongType()), ("intercept", DoubleType()), ("coefficients", ArrayType(DoubleType())))]])
+    return found.mapInArrow(solve, shape)
+
+
+def predict_ridge(rows: DataFrame, models: DataFrame, keys: Sequence[str] = (SERIES,),
+                  features: Sequence[str] = FEATURES) -> DataFrame:
+    """Rows with the ``prediction`` of their series' model; null without a model or with a null feature."""
+    total = F.col("_intercept")
+    for place, name in enumerate(features):
+        total = total + F.col("_coefficients")[place] * F.col(name).cast("double")
+    named = models.select(*keys, F.col("intercept").alias("_intercept"), F.col("coefficients").alias("_coefficients"))
+    return rows.join(named, list(keys), "left").withColumn("prediction", total).drop("_intercept", "_coefficients")
+
+
+def compare_per_series(predictions: dict[str, DataFrame], keys: Sequence[str] = (SERIES,), label: str = LOAD) -> DataFrame:
+    """J-10 for many series: the test metrics of each named model, a row per series and model, and which one is chosen.
+
+    The lower RMSE is chosen, of equal ones the name that comes first in ``predictions``; a model without an RMSE last.
+    """
+    parts = [regression_metrics(rows.where(F.col("prediction").isNotNull() & F.col(label).isNotNull()), label, keys=keys)
+             .withColumns({"model": F.lit(name), "_place": F.lit(place)}) for place, (name, rows) in enumerate(predictions.items())]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionByName(part)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.asc_nulls_last("RMSE"), "_place"))
+    return together.withColumn("chosen", first == 1).drop("_place")
+
+
 def fit_forest(train: DataFrame, trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED,
                label: str = LOAD, max_bins: int = 128) -> PipelineModel:
     """J-08: random forest over all features."""

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.operators.keyed import newest_first
-from wattlake.schema import MEASURES, ScoreDefaults, SilverRules
+from wattlake.operators.keyed import EVENT_DAY, newest_first
+from wattlake.schema import MEASURES, PARTITION_COLUMNS, ScoreDefaults, SilverRules
 
 
 def _star(facts: DataFrame, meters: DataFrame, buildings: DataFrame) -> DataFrame:
@@ -24,17 +24,26 @@ def _star(facts: DataFrame, meters: DataFrame, buildings: DataFrame) -> DataFram
         .join(meters.select("meter_id", "building_id"), "meter_id", "inner").join(names, "building_id", "inner")
 
 
+DAY_COLUMNS = (*PARTITION_COLUMNS, EVENT_DAY)
+
+
+def _days_of(df: DataFrame) -> list[str]:
+    """Columns of the folders a fact table lies in: with them its newest rows are found without reading older days."""
+    return [name for name in DAY_COLUMNS if name in df.columns]
+
+
 def star_rows(readings: DataFrame, meters: DataFrame, buildings: DataFrame) -> DataFrame:
     """Readings joined with meter and building, metrics as doubles, in no order."""
     metrics = [F.col(name).cast("double").alias(name) for name in MEASURES]
     return _star(readings, meters, buildings).select(
-        "event_id", "timestamp", "meter_id", "building_id", "building_type", "building_name", *metrics)
+        "event_id", "timestamp", "meter_id", "building_id", "building_type", "building_name", *metrics,
+        *_days_of(readings))
 
 
 def readings_star(readings: DataFrame, meters: DataFrame, buildings: DataFrame,
                   limit: int = 25_000) -> DataFrame:
     """C-01: readings with meter and building, newest first."""
-    return newest_first(star_rows(readings, meters, buildings), limit)
+    return newest_first(star_rows(readings, meters, buildings), limit).drop(*DAY_COLUMNS)
 
 
 def alerts_star(alerts: DataFrame, meters: DataFrame, buildings: DataFrame,
@@ -43,8 +52,8 @@ def alerts_star(alerts: DataFrame, meters: DataFrame, buildings: DataFrame,
     rows = _star(alerts, meters, buildings).select(
         "event_id", "timestamp", "meter_id", "building_id", "building_type", "alert_type", "severity",
         F.col("metric_value").cast("double").alias("metric_value"),
-        F.col("threshold_value").cast("double").alias("threshold_value"), "description")
-    return newest_first(rows, limit, tiebreak=("event_id", "alert_type"))
+        F.col("threshold_value").cast("double").alias("threshold_value"), "description", *_days_of(alerts))
+    return newest_first(rows, limit, tiebreak=("event_id", "alert_type")).drop(*DAY_COLUMNS)
 
 
 def aggregates_star(aggregates: DataFrame, buildings: DataFrame, limit: int = 1_000) -> DataFrame:
@@ -53,8 +62,8 @@ def aggregates_star(aggregates: DataFrame, buildings: DataFrame, limit: int = 1_
     rows = aggregates.join(names, "building_id", "inner").select(
         "id", "window_start", "window_end", "building_id", "building_name", "building_type",
         *[F.col(name).cast("double").alias(name)
-          for name in ("avg_power_kw", "avg_voltage_v", "avg_power_factor")])
-    return newest_first(rows, limit, ts="window_end", tiebreak=("building_id", "id"))
+          for name in ("avg_power_kw", "avg_voltage_v", "avg_power_factor")], *_days_of(aggregates))
+    return newest_first(rows, limit, ts="window_end", tiebreak=("building_id", "id")).drop(*DAY_COLUMNS)
 
 
 def enrich_left(df: DataFrame, buildings: DataFrame, meters: DataFrame,

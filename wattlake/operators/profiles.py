@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import add_calendar, hour_start
 from wattlake.functions.electrical import above, below
-from wattlake.functions.numeric import (exact_avg, exact_sum, from_units, half_up, mean_from, sum_units, to_units,
+from wattlake.functions.numeric import (count_numbers, exact_avg, exact_sum, from_units, half_up, mean_from, sum_units,
                                          total_units)
 from wattlake.operators.filters import at_latest
+from wattlake.operators.keyed import latest_per_meter
 from wattlake.schema import MEASURES, AlertLimits
 
 READING_MINUTES = 15.0
@@ -33,7 +34,7 @@ def _cells(df: DataFrame, keys: Sequence[str], measures: Sequence[str] = MEASURE
     parts = [F.count("*").alias("n_rows"), F.count("event_id").alias("n_events"),
              F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min")]
     for name in measures:
-        parts += [sum_units(to_units(name)).alias(f"{name}_units"), F.count(to_units(name)).alias(f"{name}_count")]
+        parts += [sum_units(name).alias(f"{name}_units"), count_numbers(name).alias(f"{name}_count")]
     return df.groupBy(*keys).agg(*parts)
 
 
@@ -249,37 +250,29 @@ def meter_baselines(df: DataFrame) -> DataFrame:
 def kpis(df: DataFrame) -> DataFrame:
     """D-06: the KPI row - counts, time range, load of the latest readings, overall load.
 
-    One scan: readings, of which a meter has one per time, are reduced to cells of
-    (meter, building, category) that carry the last non-null value of each metric.
-    The newest cell of a meter then gives its latest reading.
+    Readings are reduced to cells of (meter, building, category) for the counts and the overall load; the latest
+    values per meter are those of E-08, with ties at a meter's last time settled by event.
     """
-    metrics = ("power_kw", "voltage_v", "power_factor")
-    parts = [F.count("*").alias("n_rows"),
-             F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
-             sum_units(to_units("power_kw")).alias("units"), F.count(to_units("power_kw")).alias("n_power"),
-             F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min")]
-    for name in metrics:
-        present = F.when(F.col(name).isNotNull(), F.col("timestamp"))
-        parts += [F.max(present).alias(f"{name}_seen"), F.max_by(F.col(name), present).alias(f"{name}_last")]
-    cells = df.groupBy("meter_id", "building_id", "building_type").agg(*parts)
-
-    per_meter = Window.partitionBy("meter_id")
-    counted = F.row_number().over(per_meter.orderBy("building_id", "building_type")) == 1
-    latest = {f"{name}_latest": F.max_by(f"{name}_last", f"{name}_seen").over(per_meter) for name in metrics}
-    cells = cells.withColumns({**latest, "_once": F.col("meter_id").isNotNull() & counted})
-    cells = cells.withColumns({f"{name}_now": F.when(F.col("_once"), F.col(f"{name}_latest")) for name in metrics})
-    return cells.agg(
+    cells = df.groupBy("meter_id", "building_id", "building_type").agg(
+        F.count("*").alias("n_rows"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+        sum_units("power_kw").alias("units"), count_numbers("power_kw").alias("n_power"),
+        F.max("power_kw").alias("power_max"), F.min("power_kw").alias("power_min"))
+    overall = cells.agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("total_records"),
         F.count_distinct("building_type").alias("total_categories"),
         F.count_distinct("building_id").alias("total_buildings"),
         F.count_distinct("meter_id").alias("total_meters"),
         F.min("first").alias("earliest_time"), F.max("last").alias("latest_time"),
-        half_up(exact_sum("power_kw_now"), 2).alias("current_total_load_kw"),
-        half_up(exact_avg("voltage_v_now"), 2).alias("avg_voltage"),
-        half_up(exact_avg("power_factor_now"), 3).alias("avg_power_factor"),
         half_up(mean_from(total_units("units"), F.sum("n_power")), 2).alias("avg_power_kw"),
         half_up(F.max("power_max"), 2).alias("peak_power_kw"),
         half_up(F.min("power_min"), 2).alias("min_power_kw"))
+    now = latest_per_meter(df).agg(
+        half_up(exact_sum("power_kw"), 2).alias("current_total_load_kw"),
+        half_up(exact_avg("voltage_v"), 2).alias("avg_voltage"),
+        half_up(exact_avg("power_factor"), 3).alias("avg_power_factor"))
+    return overall.select("*", now.select(F.struct("*")).scalar().alias("now")).select(
+        "total_records", "total_categories", "total_buildings", "total_meters", "earliest_time", "latest_time",
+        "now.*", "avg_power_kw", "peak_power_kw", "min_power_kw")
 
 
 def live_comparison(current: DataFrame, history: DataFrame) -> DataFrame:

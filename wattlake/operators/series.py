@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import day_of_week
-from wattlake.functions.numeric import half_up, mean_from, to_units
+from wattlake.functions.numeric import decimal_units, half_up, mean_from
 
 SERIES = "series"
 LOAD = "total_power_kw"
@@ -65,8 +65,8 @@ def backfill_lags(series: DataFrame, keys: Sequence[str] = (SERIES,), value: str
 def _mean_over(value, keys):
     """The exact mean of a column over a window partition."""
     group = Window.partitionBy(*keys)
-    units = to_units(value)
-    return mean_from(F.sum(units.cast("decimal(38,0)")).over(group), F.count(units).over(group))
+    units = decimal_units(value)
+    return mean_from(F.sum(units).over(group), F.count(units).over(group))
 
 
 def time_features(series: DataFrame, keys: Sequence[str] = (SERIES,), value: str = LOAD,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.calendar import DAY_TEXT, HOUR_TEXT, hour_start
 from wattlake.functions.electrical import clamp_electrical, quality_flags
-from wattlake.functions.numeric import (exact_avg, exact_sum, half_up, mean_from, sum_units, to_units,
+from wattlake.functions.numeric import (exact_avg, exact_sum, half_up, mean_from, sum_units,
                                          total_units)
 from wattlake.operators.filters import valid_rows
 from wattlake.operators.joins import enrich_left
@@ -94,7 +94,7 @@ def daily_dispatch(silver_rows: DataFrame, contract: MartContract = MartContract
     24 rows a day.
     """
     hourly = silver_rows.groupBy(hour_start("timestamp").alias("hour_window")) \
-        .agg(sum_units(to_units("power_kw")).alias("units"))
+        .agg(sum_units("power_kw").alias("units"))
     load = mean_from("units", F.lit(1))
     daily = hourly.groupBy(F.date_format("hour_window", DAY_TEXT).alias("dispatch_date")).agg(
         F.count("*").alias("active_hours"),

@@ -31,7 +31,7 @@ def alert_rows(spark, sf_dir):
     return alerts(fx.readings(spark, sf_dir))
 
 
-@register("evaluate", f"""
+EVALUATE = f"""
     SELECT event_id, ml_anomaly, anomaly_score, z_score, is_anomaly,
            CASE WHEN length(reasons) = 0 THEN 'NOMINAL' ELSE split_part(reasons, '; ', 1) END AS primary_reason, reasons
     FROM (SELECT event_id, FALSE AS ml_anomaly, 0.0::DOUBLE AS anomaly_score, {rnd('z', 2)} AS z_score,
@@ -44,7 +44,10 @@ def alert_rows(spark, sf_dir):
           FROM (SELECT t.event_id, COALESCE(t.voltage_v, 230.0::DOUBLE) AS v,
                        COALESCE(t.power_factor, 0.95::DOUBLE) AS pf,
                        (COALESCE(t.power_kw, 0.0::DOUBLE) - s.mean_kw) / s.std_kw AS z
-                FROM telemetry t JOIN meter_stats s ON t.meter_id = s.meter_id))""")
+                FROM telemetry t JOIN meter_stats s ON t.meter_id = s.meter_id))"""
+
+
+@register("evaluate", EVALUATE)
 def _(spark, sf_dir):
     rows = fx.readings(spark, sf_dir)
     return score_readings(rows, stored(profiles.meter_baselines(rows), "baselines")).select(
@@ -67,17 +70,24 @@ GIVEN_TREES = [
 ]
 
 
-@register("isolation_forest_given_trees", """
+GIVEN_SCORES = """
     SELECT event_id, ROUND(score, 6) + 0.0::DOUBLE AS anomaly_score, COALESCE(score < 0, FALSE) AS ml_anomaly
     FROM (SELECT event_id, 0.5::DOUBLE - pow(2.0::DOUBLE, -(one + two) / 2 / (2 * (ln(7) + 0.5772156649015329) - 1.75)) AS score
           FROM (SELECT event_id,
                        CASE WHEN power_kw IS NULL OR voltage_v IS NULL THEN NULL WHEN power_kw <= 50 THEN 4.5::DOUBLE
                             WHEN voltage_v <= 210 THEN 2.0::DOUBLE ELSE 3.25::DOUBLE END AS one,
-                       CASE WHEN voltage_v <= 190 THEN 1.0::DOUBLE ELSE 3.5::DOUBLE END AS two FROM telemetry))""")
-def _(spark, sf_dir):
+                       CASE WHEN voltage_v <= 190 THEN 1.0::DOUBLE ELSE 3.5::DOUBLE END AS two FROM telemetry))"""
+
+
+def given_forest(spark) -> IsolationForest:
     trees = spark.createDataFrame(GIVEN_TREES, TREE_SCHEMA).select(
         "*", F.lit(-0.5).alias("offset"), F.array(F.lit("power_kw"), F.lit("voltage_v")).alias("cols"))
-    found = isolation_forest_score(fx.readings(spark, sf_dir), IsolationForest.from_frame(trees))
+    return IsolationForest.from_frame(trees)
+
+
+@register("isolation_forest_given_trees", GIVEN_SCORES)
+def _(spark, sf_dir):
+    found = isolation_forest_score(fx.readings(spark, sf_dir), given_forest(spark))
     return found.select("event_id", (F.round("anomaly_score", 6) + F.lit(0.0)).alias("anomaly_score"), "ml_anomaly")
 
 
@@ -131,13 +141,9 @@ def _(spark, sf_dir):
 ACTIVE = """CASE tier WHEN 1 THEN LEAST(45.0::DOUBLE, o) WHEN 2 THEN LEAST(90.0::DOUBLE, GREATEST(0.0::DOUBLE, o - 45))
             ELSE LEAST(160.0::DOUBLE, GREATEST(0.0::DOUBLE, o - 135)) END"""
 ARMED = "(tier = 1 OR (tier = 2 AND o > 45) OR (tier = 3 AND o > 135))"
-TIER_TABLE = """(VALUES
-    (1, 'Non-Critical Facilities & EV Setback', 'Soft Shedding', 45.0::DOUBLE, 'MEDIUM', 'M030,M031,M037',
-     'Convention Center|Open Air Theatre (OAT)|Main Gate EV Pods'),
-    (2, 'Lecture Theatre & Academic HVAC Duty-Cycling', 'Chiller Cycling', 90.0::DOUBLE, 'HIGH',
-     'M026,M027,M028,M029,M032,M033', 'LT1 (Lecture Theatre 1)|LT2 (Lecture Theatre 2)|Academic Block'),
-    (3, 'Powerhouse BESS 500kWh Peak-Shaving Discharge', 'Battery Storage', 160.0::DOUBLE, 'CRITICAL', 'M036',
-     'Main Powerhouse Substation')) tiers(tier, name, category, shed_capacity_kw, urgent, meters, zones)"""
+TIER_TABLE = "(VALUES " + ", ".join(
+    f"({tier.number}, '{tier.name}', '{tier.category}', {tier.capacity_kw}::DOUBLE, '{tier.urgency}', '{','.join(tier.meters)}', "
+    f"'{'|'.join(tier.zones)}')" for tier in dispatch.TIERS) + ") tiers(tier, name, category, shed_capacity_kw, urgent, meters, zones)"
 
 
 @register("dispatch_actions", f"""
@@ -214,13 +220,16 @@ def _(spark, sf_dir):
                         F.col("fields")[3]["value"].alias("savings_text"), "action_text")
 
 
-@register("fault_cards", """
+FAULT_CARDS = """
     SELECT event_id, concat('SCADA_', alert_type) AS event_type,
            concat(alert_type, ' at ', meter_id, ' (', building_id, ')') AS title,
            CASE severity WHEN 'CRITICAL' THEN '#ef4444' ELSE '#f59e0b' END AS color,
            concat('Sub-meter ', meter_id, ' in ', building_id, ' observed a ', alert_type, ' breach (',
                   printf('%.2f', metric_value), ' vs limit ', printf('%.2f', threshold_value), ').') AS summary
-    FROM alert_rows""")
+    FROM alert_rows"""
+
+
+@register("fault_cards", FAULT_CARDS)
 def _(spark, sf_dir):
     return incidents.fault_cards(alert_rows(spark, sf_dir)) \
         .select("event_id", "event_type", "title", "color", "summary")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
 from wattlake.operators import forecast, keyed, profiles, series
+from wattlake.plans.demand_response import demand_response
 from wattlake.registry.base import mean, register, rnd, total
+from wattlake.session import scratch_dir
 
 KEYS = ["building_id"]
 CAMPUS_HOURS = f"""
@@ -131,7 +133,7 @@ def _(spark, sf_dir):
 GIVEN = "0.5D * lag_1 + 0.25D * lag_24 + 0.125D * hour + 1D"        # a model whose coefficients are known
 
 
-@register("forecast_recursion", f"""
+RECURSION = f"""
     SELECT building_id, forecast_time, hour_of_day, predicted_load_kw,
            GREATEST(0.0::DOUBLE, {rnd('predicted_load_kw - margin', 2)}) AS lower_ci_95,
            {rnd('predicted_load_kw + margin', 2)} AS upper_ci_95
@@ -155,9 +157,98 @@ GIVEN = "0.5D * lag_1 + 0.25D * lag_24 + 0.125D * hour + 1D"        # a model wh
                     FROM (SELECT *, forecast_time + INTERVAL '1' HOUR AS due, COALESCE(loads[-1], 800.0::DOUBLE) AS newest
                           FROM run WHERE step < 24) )
                 SELECT building_id, step, forecast_time, hour_of_day, loads[-1] AS predicted_load_kw
-                FROM run WHERE step > 0))""")
-def _(spark, sf_dir):
+                FROM run WHERE step > 0))"""
+
+
+@register("forecast_recursion", RECURSION)
+def given_forecast(spark, sf_dir):
     """The recursion with given coefficients, each building on its own history."""
     model = SQLTransformer(statement=f"SELECT *, {GIVEN} AS prediction FROM __THIS__")
     found = forecast.forecast_24h(model, per_building(spark, sf_dir), KEYS, floor_kw=0.0)
     return found.withColumn("hour_of_day", F.col("hour_of_day").cast("bigint"))
+
+
+# --- models per series -----------------------------------------------------
+
+PAIR = ("lag_1", "lag_24")
+KNOWN = f"(SELECT * FROM ({LAGGED}) WHERE lag_1 IS NOT NULL AND lag_24 IS NOT NULL AND total_power_kw IS NOT NULL)"
+
+
+def _ridge_sql(rows: str) -> str:
+    """Ridge regression on two features in closed form: the centred normal equations by Cramer's rule."""
+    return f"""
+    SELECT building_id, n, w_1, w_24, my - w_1 * m1 - w_24 * m2 AS intercept
+    FROM (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS w_1,
+                 (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS w_24
+          FROM (SELECT building_id, COUNT(*) AS n, AVG(lag_1) AS m1, AVG(lag_24) AS m2, AVG(total_power_kw) AS my,
+                       COUNT(*) * var_pop(lag_1) + 1 AS s11, COUNT(*) * var_pop(lag_24) + 1 AS s22,
+                       COUNT(*) * covar_pop(lag_1, lag_24) AS s12, COUNT(*) * covar_pop(lag_1, total_power_kw) AS s1y,
+                       COUNT(*) * covar_pop(lag_24, total_power_kw) AS s2y
+                FROM {rows} GROUP BY building_id))"""
+
+
+def known_rows(spark, sf_dir):
+    rows = series.add_lags(per_building(spark, sf_dir), KEYS)
+    return rows.dropna("any", subset=[*PAIR, series.LOAD])
+
+
+@register("ridge_per_series", f"""
+    SELECT building_id, n, ROUND(w_1, 6) AS w_1, ROUND(w_24, 6) AS w_24, ROUND(intercept, 5) AS intercept
+    FROM ({_ridge_sql(KNOWN)})""")
+def _(spark, sf_dir):
+    """A ridge model of each building's load, all fitted in one pass."""
+    models = forecast.fit_ridge_per_series(known_rows(spark, sf_dir), KEYS, features=PAIR)
+    weight = F.col("coefficients")
+    return models.select("building_id", "n", F.round(weight[0], 6).alias("w_1"), F.round(weight[1], 6).alias("w_24"),
+                         F.round("intercept", 5).alias("intercept"))
+
+
+PARTS = f"""(SELECT *, row_number() OVER (PARTITION BY building_id ORDER BY ds)
+                    <= floor(COUNT(*) OVER (PARTITION BY building_id) * 0.8::DOUBLE) AS is_train FROM {KNOWN})"""
+TESTED = f"""
+    SELECT building_id, 'ridge' AS model, 0 AS place, total_power_kw AS y, intercept + w_1 * lag_1 + w_24 * lag_24 AS p
+    FROM {PARTS} JOIN ({_ridge_sql(f"(SELECT * FROM {PARTS} WHERE is_train)")}) USING (building_id) WHERE NOT is_train
+    UNION ALL SELECT building_id, 'naive', 1, total_power_kw, lag_24 FROM {PARTS} WHERE NOT is_train"""
+
+
+@register("model_choice_per_series", f"""
+    SELECT building_id, model, MAE, RMSE, MAPE, test_samples,
+           row_number() OVER (PARTITION BY building_id ORDER BY RMSE NULLS LAST, place) = 1 AS chosen
+    FROM (SELECT building_id, model, place, {rnd('AVG(abs(y - p))', 2)} AS MAE, {rnd('sqrt(AVG((y - p) * (y - p)))', 2)} AS RMSE,
+                 {rnd('AVG(abs(y - p) / GREATEST(abs(y), 2.220446049250313e-16)) * 100', 2)} AS MAPE, COUNT(*) AS test_samples
+          FROM ({TESTED}) GROUP BY ALL)""")
+def _(spark, sf_dir):
+    """Ridge against yesterday's load, each building judged on the last fifth of its hours."""
+    rows = series.chronological_split(known_rows(spark, sf_dir), keys=KEYS)
+    models = forecast.fit_ridge_per_series(rows.where("is_train"), KEYS, features=PAIR)
+    test = rows.where("NOT is_train")
+    return forecast.compare_per_series({
+        "ridge": forecast.predict_ridge(test, models, KEYS, PAIR),
+        "naive": test.withColumn("prediction", F.col("lag_24"))}, KEYS)
+
+
+# --- forecast to audit trail -----------------------------------------------
+
+FLOW_LIMIT = 120.0
+
+
+@register("demand_response_flow", f"""
+    SELECT building_id, violation_hours_count, peak_forecast_kw, max_overload_kw, armed, lowered_peak_kw,
+           CASE WHEN violation_hours_count > 0 THEN printf('Peak Demand Breach (+%.1f kW)', max_overload_kw) END AS title
+    FROM (SELECT building_id, COUNT(*) FILTER (WHERE load > {FLOW_LIMIT}) AS violation_hours_count, MAX(load) AS peak_forecast_kw,
+                 MAX(over) AS max_overload_kw, CASE WHEN MAX(over) > 135 THEN 3 WHEN MAX(over) > 45 THEN 2 WHEN MAX(over) > 0 THEN 1
+                                                   ELSE 0 END::BIGINT AS armed,
+                 MAX(CASE WHEN load > {FLOW_LIMIT} THEN {rnd(f'GREATEST({FLOW_LIMIT}::DOUBLE, load - LEAST(over, 295.0::DOUBLE))', 2)}
+                          ELSE load END) AS lowered_peak_kw
+          FROM (SELECT building_id, predicted_load_kw AS load,
+                       {rnd(f'GREATEST(0.0::DOUBLE, MAX(predicted_load_kw) OVER (PARTITION BY building_id) - {FLOW_LIMIT})', 2)} AS over
+                FROM ({RECURSION})) GROUP BY building_id)""")
+def _(spark, sf_dir):
+    """Each building's day ahead, planned for, with its card from the audit trail."""
+    made = demand_response(given_forecast(spark, sf_dir), scratch_dir(spark, "demand-response"), KEYS, FLOW_LIMIT)
+    armed = made["actions"].groupBy(*KEYS).agg(F.count_if(F.col("status") == "ARMED").alias("armed"))
+    lowered = made["curve"].groupBy(*KEYS).agg(F.max("dispatched_load_kw").alias("lowered_peak_kw"))
+    sent = made["audit"].join(made["cards"].select(*KEYS, "title", "payload"), ["title", "payload"]).select(*KEYS, "title")
+    return made["plans"].join(armed, KEYS, "left").join(lowered, KEYS, "left").join(sent, KEYS, "left").select(
+        *KEYS, "violation_hours_count", "peak_forecast_kw", "max_overload_kw",
+        F.coalesce("armed", F.lit(0)).alias("armed"), "lowered_peak_kw", "title")

@@ -84,11 +84,11 @@ def _daily_sql(limit: float, penalty: float) -> str:
            peak_campus_demand_kw > {limit} AS is_contract_breached,
            {rnd(f'GREATEST(0.0::DOUBLE, peak_campus_demand_kw - {limit}) * {penalty}', 2)}
                AS demand_penalty_exposure_inr,
-           CASE WHEN peak_campus_demand_kw > {limit} + 50 THEN 'Tier 3 (BESS + Chiller Cycling + Lighting)'
-                WHEN peak_campus_demand_kw > {limit} THEN 'Tier 2 (Chiller Duty Cycling + Lighting)'
+           CASE WHEN peak_campus_demand_kw > {limit} + 50 THEN '{m.TIER_3}'
+                WHEN peak_campus_demand_kw > {limit} THEN '{m.TIER_2}'
                 WHEN peak_campus_demand_kw > {limit} * 0.9::DOUBLE
-                    THEN 'Tier 1 (Architectural Lighting & EV Setback)'
-                ELSE 'Nominal Grid Operation' END AS recommended_dispatch_tier
+                    THEN '{m.TIER_1}'
+                ELSE '{m.TIER_NONE}' END AS recommended_dispatch_tier
     FROM (SELECT strftime(hour_window, '%Y-%m-%d') AS dispatch_date, COUNT(*) AS active_hours,
                  {rnd(mean('kw'), 2)} AS avg_campus_demand_kw, {rnd('MAX(kw)', 2)} AS peak_campus_demand_kw,
                  {rnd('MIN(kw)', 2)} AS min_campus_demand_kw, {rnd(total('kw'), 2)} AS total_daily_kwh

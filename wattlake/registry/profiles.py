@@ -289,8 +289,8 @@ def unique_readings(spark, sf_dir):
 
 
 def _last(column: str) -> str:
-    return f"""(SELECT meter_id, {column} AS v FROM unique_rows WHERE {column} IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY timestamp DESC) = 1)"""
+    return f"""(SELECT meter_id, {column} AS v FROM telemetry  WHERE {column} IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY meter_id ORDER BY timestamp DESC, event_id DESC) = 1)"""
 
 
 @register("kpis", f"""
@@ -302,18 +302,18 @@ def _last(column: str) -> str:
            (SELECT {rnd(mean('v'), 3)} FROM {_last('power_factor')}) AS avg_power_factor,
            {rnd(mean('power_kw'), 2)} AS avg_power_kw, {rnd('MAX(power_kw)', 2)} AS peak_power_kw,
            {rnd('MIN(power_kw)', 2)} AS min_power_kw
-    FROM unique_rows""")
+    FROM telemetry """)
 def _(spark, sf_dir):
-    return profiles.kpis(unique_readings(spark, sf_dir))
+    return profiles.kpis(fx.readings(spark, sf_dir))
 
 
 @register("latest_per_meter", f"""
     SELECT k.meter_id, p.v AS power_kw, u.v AS voltage_v, f.v AS power_factor
-    FROM (SELECT DISTINCT meter_id FROM unique_rows ) k LEFT JOIN {_last('power_kw')} p ON k.meter_id = p.meter_id
+    FROM (SELECT DISTINCT meter_id FROM telemetry  ) k LEFT JOIN {_last('power_kw')} p ON k.meter_id = p.meter_id
     LEFT JOIN {_last('voltage_v')} u ON k.meter_id = u.meter_id
     LEFT JOIN {_last('power_factor')} f ON k.meter_id = f.meter_id""")
 def _(spark, sf_dir):
-    return keyed.latest_per_meter(unique_readings(spark, sf_dir))
+    return keyed.latest_per_meter(fx.readings(spark, sf_dir))
 
 
 @register("instant_load", f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
-from wattlake.operators import joins
+from wattlake.operators import joins, keyed
 from wattlake.operators.alerts import alerts
 from wattlake.plans import contracts as k
 from wattlake.plans import medallion
@@ -63,6 +63,46 @@ def _(spark, sf_dir):
     return lake.compaction_totals(report).select("partitions_checked", "partitions_compacted", "total_files_after")
 
 
+NEWEST = f"SELECT {NINE} FROM telemetry ORDER BY timestamp DESC, event_id DESC LIMIT 2000"
+
+
+@register("newest_lake_readings", NEWEST)
+def _(spark, sf_dir):
+    """The newest readings of a stored lake, from its newest days backwards."""
+    return keyed.newest_first(lake.read_lake(spark, written_lake(spark, sf_dir)), 2_000).select(*TELEMETRY_COLUMNS)
+
+
+@register("newest_lake_star", f"""
+    SELECT event_id, timestamp, t.meter_id, m.building_id, b.category AS building_type, b.building_name, power_kw, voltage_v,
+           current_a, power_factor
+    FROM telemetry t JOIN meters m ON t.meter_id = m.meter_id JOIN buildings b ON m.building_id = b.building_id
+    ORDER BY timestamp DESC, event_id DESC LIMIT 2000""")
+def _(spark, sf_dir):
+    rows = lake.read_lake(spark, written_lake(spark, sf_dir))
+    return joins.readings_star(rows, fx.meters(spark, sf_dir), fx.buildings(spark, sf_dir), 2_000)
+
+
+@register("lake_union_by_name", f"""
+    SELECT {NINE}, CASE WHEN day(timestamp) >= 15 THEN 28.5::DOUBLE + voltage_v / 10 END AS ambient_temp_c FROM telemetry""")
+def _(spark, sf_dir):
+    """Files with and without a column, read and compacted as one lake."""
+    path, rows = scratch_dir(spark, "lake-union"), fx.readings(spark, sf_dir)
+    old = F.dayofmonth("timestamp") < 15
+    lake.write_lake(rows.where(old), path)
+    lake.write_lake(rows.where(~old).withColumn("ambient_temp_c", F.lit(28.5) + F.col("voltage_v") / 10), path)
+    lake.compact_lake(spark, path)
+    return lake.read_lake(spark, path).select(*TELEMETRY_COLUMNS, "ambient_temp_c")
+
+
+@register("lake_partitions", """
+    SELECT DISTINCT year(timestamp)::BIGINT AS year, month(timestamp)::BIGINT AS month, day(timestamp)::BIGINT AS day
+    FROM telemetry""")
+def _(spark, sf_dir):
+    """The day folders of a stored lake, from its listing."""
+    rows = lake.lake_files(spark, written_lake(spark, sf_dir))
+    return rows.select(*[lake._day(name).cast("bigint").alias(name) for name in ("year", "month", "day")]).distinct()
+
+
 QUERY = """
     SELECT building_type, COUNT(*) AS count, {mean} AS mean_power, MAX(power_kw) AS max_power
     FROM telemetry_lake WHERE power_kw >= :least GROUP BY building_type ORDER BY count DESC"""
@@ -126,6 +166,15 @@ def _(spark, sf_dir):
     return marts["hourly"].select("hour_window", "building_id", "category", "sample_count")
 
 
+@register("newest_daily_mart", f"""
+    SELECT strftime(hour_window, '%Y-%m-%d') AS dispatch_date, COUNT(*) AS active_hours, {rnd('MAX(kw)', 2)} AS peak_campus_demand_kw
+    FROM campus_hours GROUP BY 1 ORDER BY dispatch_date DESC""")
+def _(spark, sf_dir):
+    """The daily mart as the pipeline writes it and its readers show it."""
+    out, _ = pipeline_run(spark, sf_dir, k.range_contracts())
+    return serving.read_marts(spark, f"{out}/gold")["daily"].select("dispatch_date", "active_hours", "peak_campus_demand_kw")
+
+
 # --- versioned table -------------------------------------------------------
 
 EXTRA = "CASE WHEN day(timestamp) >= 10 THEN 20 + voltage_v / 10 END AS ambient_temp_c"

@@ -8,11 +8,13 @@ from wattlake import fixtures as fx
 from wattlake.operators import live, profiles
 from wattlake.operators.isolation_forest import isolation_forest_fit, with_features
 from wattlake.registry.base import register
+from wattlake.registry.detection import EVALUATE, FAULT_CARDS, GIVEN_SCORES, given_forest
 from wattlake.registry.profiles import NINE
 from wattlake.schema import TELEMETRY_COLUMNS
 from wattlake.session import scratch_dir, stored
 from wattlake.sources import lake
 from wattlake.streaming import jobs
+from wattlake.streaming.late import sink_with_late_rows
 from wattlake.streaming.windows import sliding_building_averages
 
 
@@ -52,3 +54,78 @@ def _(spark, sf_dir):
                       f"{folder}/checkpoint", model, interval=None).awaitTermination()
     rows = spark.read.parquet(f"{folder}/alerts")
     return rows.select("event_id", "meter_id", "alert_type", "severity", "description")
+
+
+def part_of_stream():
+    """Three parts of the readings that come one after another; the last brings some of the days of the first two."""
+    day, event = F.dayofmonth("timestamp"), F.col("event_id")
+    return F.when((day <= 10) & ~event.endswith("7"), 1).when((day > 10) & (day <= 20) & ~event.endswith("3"), 2).otherwise(3)
+
+
+PARTS = """
+    SELECT *, CASE WHEN day(raw_ts) <= 10 AND event_id NOT LIKE '%7' THEN 1
+                   WHEN day(raw_ts) BETWEEN 11 AND 20 AND event_id NOT LIKE '%3' THEN 2 ELSE 3 END AS part FROM telemetry"""
+
+
+def three_batches(spark, sf_dir, folder: str):
+    """A file stream of three micro-batches."""
+    rows = fx.telemetry(spark, sf_dir).withColumn("timestamp", F.col("raw_ts").cast("timestamp")).select(*TELEMETRY_COLUMNS)
+    for part in (1, 2, 3):
+        rows.where(part_of_stream() == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+
+@register("late_readings", f"""
+    SELECT event_id, part - 1 AS batch_id, COALESCE(raw_ts < bound, FALSE) AS late
+    FROM (WITH parts AS ({PARTS} ), ends AS (SELECT part, MAX(raw_ts) AS newest FROM parts GROUP BY part)
+          SELECT p.event_id, p.part::BIGINT AS part, p.raw_ts, b.bound FROM parts p JOIN
+                (SELECT o.part, MAX(e.newest) - INTERVAL '5' DAY AS bound FROM ends o LEFT JOIN ends e ON e.part < o.part
+                 GROUP BY o.part) b ON p.part = b.part)""")
+def _(spark, sf_dir):
+    """Which readings of a stream are behind its watermark, and in which batch they came."""
+    folder = scratch_dir(spark, "stream-late")
+    sink_with_late_rows(three_batches(spark, sf_dir, folder), f"{folder}/kept", f"{folder}/late", f"{folder}/checkpoint", None,
+                        "5 DAYS").awaitTermination()
+    return spark.read.parquet(f"{folder}/kept").withColumn("late", F.lit(False)) \
+        .unionByName(spark.read.parquet(f"{folder}/late").withColumn("late", F.lit(True))) \
+        .select("event_id", F.col("batch_id").cast("bigint").alias("batch_id"), "late")
+
+
+@register("streamed_lake_compacted", f"SELECT {NINE.replace('timestamp', 'raw_ts AS timestamp')} FROM telemetry")
+def _(spark, sf_dir):
+    """A lake that a stream writes in three batches, compacted in place, and the stream restarted."""
+    folder = scratch_dir(spark, "stream-compact")
+    readings = three_batches(spark, sf_dir, folder)
+    jobs.stream_to_lake(readings, f"{folder}/lake", f"{folder}/checkpoint", None).awaitTermination()
+    lake.compact_lake(spark, f"{folder}/lake")
+    jobs.stream_to_lake(readings, f"{folder}/lake", f"{folder}/checkpoint", None).awaitTermination()
+    return lake.read_lake(spark, f"{folder}/lake").select(*TELEMETRY_COLUMNS) \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def scored(spark, sf_dir) -> str:
+    """The folder of a scored stream of three batches, with the given trees as model."""
+    folder = scratch_dir(spark, "stream-verdicts")
+    baselines = stored(profiles.meter_baselines(fx.readings(spark, sf_dir)), "baselines")
+    jobs.score_stream(three_batches(spark, sf_dir, folder), baselines, f"{folder}/readings", f"{folder}/alerts",
+                      f"{folder}/checkpoint", given_forest(spark), None, f"{folder}/cards").awaitTermination()
+    return folder
+
+
+@register("streamed_verdicts", f"""
+    SELECT event_id, g.ml_anomaly, ROUND(COALESCE(g.anomaly_score, 0.0::DOUBLE), 4) + 0.0::DOUBLE AS anomaly_score, e.z_score,
+           e.is_anomaly OR g.ml_anomaly AS is_anomaly
+    FROM ({EVALUATE}) e JOIN ({GIVEN_SCORES.replace('score, 6', 'score, 8')}) g USING (event_id)""")
+def _(spark, sf_dir):
+    folder = scored(spark, sf_dir)
+    return jobs.read_batches(spark, f"{folder}/readings") \
+        .select("event_id", "ml_anomaly", "anomaly_score", "z_score", "is_anomaly")
+
+
+@register("streamed_fault_cards", FAULT_CARDS)
+def _(spark, sf_dir):
+    """The cards of a scored stream, after its batch folders have been merged."""
+    folder = scored(spark, sf_dir)
+    jobs.merge_batches(spark, f"{folder}/cards", f"{folder}/readings")
+    return jobs.read_batches(spark, f"{folder}/cards", f"{folder}/readings") \
+        .select("event_id", "event_type", "title", "color", "summary")

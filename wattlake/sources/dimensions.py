@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattlake.schema import BUILDINGS, METERS
+from wattlake.session import stored
 
 
 def _catalog(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -26,10 +27,19 @@ def expand_meters(counts: DataFrame, order: Sequence[str], meter_type: str = "Sm
                   status: str = "ACTIVE", width: int = 3) -> DataFrame:
     """A-05: one row per meter from (building_id, building_type, meter_count), ids running in ``order``.
 
-    The running start is a window over the building catalog (a row per building).
+    A distributed prefix sum: the catalog is dealt into ranges of the order and written, each range is summed up for
+    itself, and the ranges' totals (a number per shuffle partition) give every range its start.
     """
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("_start", F.coalesce(F.sum("meter_count").over(before), F.lit(0)))
+    spark = counts.sparkSession
+    ranges = stored(counts.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "meter-ranges")
+    total = F.coalesce(F.sum("meter_count"), F.lit(0)).cast("bigint")
+    starts, below = [], 0
+    for row in ranges.groupBy("_range").agg(total.alias("n")).orderBy("_range").collect():
+        starts.append((row["_range"], below))
+        below += row["n"]
+    before = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.join(spark.createDataFrame(starts, "_range int, _base bigint"), "_range") \
+        .withColumn("_start", F.col("_base") + F.coalesce(F.sum("meter_count").over(before), F.lit(0)))
     rows = placed.where(F.col("meter_count") > 0).select(
         "building_id", "building_type", "_start",
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("meter_count").cast("bigint"))).alias("_n"))

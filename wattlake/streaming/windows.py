@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.functions.numeric import exact_avg, half_up, mean_from, sum_units, to_units, total_units
+from wattlake.functions.numeric import count_numbers, exact_avg, half_up, mean_from, sum_units, total_units
 from wattlake.schema import StreamTiming
 
 DIGITS = {"power_kw": 2, "voltage_v": 2, "power_factor": 3}
@@ -30,7 +30,7 @@ def sliding_building_averages(readings: DataFrame, timing: StreamTiming = Stream
         raise ValueError("the window must be a multiple of the slide")
     parts = []
     for name in DIGITS:
-        parts += [sum_units(to_units(name)).alias(f"{name}_units"), F.count(to_units(name)).alias(f"{name}_count")]
+        parts += [sum_units(name).alias(f"{name}_units"), count_numbers(name).alias(f"{name}_count")]
     panes = readings.where(F.col(ts).isNotNull()) \
         .groupBy(F.window(ts, timing.slide)["start"].alias("pane"), "building_id").agg(*parts)
     return panes.groupBy(F.window("pane", timing.window, timing.slide).alias("window"), "building_id").agg(
