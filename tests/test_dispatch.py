@@ -19,14 +19,14 @@ OVERLOAD = [600.0] * 12 + [950.0] * 4 + [600.0] * 8
 
 
 def test_nominal_day_has_no_actions(spark):
-    plan = dispatch.dispatch_plan(forecast(spark, [500 + i for i in range(24)]), limit_kw=800.0).first()
+    plan = dispatch.dispatch_plan(forecast(spark, [500 + i for i in range(24)]), (), limit_kw=800.0).first()
     assert not plan["has_violations"] and plan["violation_hours_count"] == 0
     assert (plan["max_overload_kw"], plan["est_monthly_savings"], plan["total_shed_kw"]) == (0.0, 0.0, 0.0)
     assert plan["peak_times"] == [] and plan["actions"] == [] and plan["peak_forecast_kw"] == 523.0
 
 
 def test_overload_of_150_kw(spark):
-    plan = dispatch.dispatch_plan(forecast(spark, OVERLOAD), limit_kw=800.0, tariff=350.0).first()
+    plan = dispatch.dispatch_plan(forecast(spark, OVERLOAD), (), limit_kw=800.0, tariff=350.0).first()
     assert plan["has_violations"] and plan["violation_hours_count"] == 4 and plan["max_overload_kw"] == 150.0
     assert plan["peak_times"] == ["12:00", "13:00", "14:00", "15:00"]
     assert plan["est_monthly_savings"] == 52_500.0 and plan["total_shed_kw"] == 295.0
@@ -36,21 +36,21 @@ def test_overload_of_150_kw(spark):
 
 
 def test_small_overload_leaves_later_tiers_on_standby(spark):
-    plan = dispatch.dispatch_plan(forecast(spark, [840.0]), limit_kw=800.0)
+    plan = dispatch.dispatch_plan(forecast(spark, [840.0]), (), limit_kw=800.0)
     actions = dispatch.dispatch_actions(plan).collect()
     assert [(a["status"], a["urgency"], a["active_shed_kw"]) for a in actions] == [
         ("ARMED", "MEDIUM", 40.0), ("STANDBY", "STANDBY", 0.0), ("STANDBY", "STANDBY", 0.0)]
 
 
 def test_empty_forecast_gives_a_plan_of_zeros(spark):
-    plan = dispatch.dispatch_plan(forecast(spark, [])).first()
+    plan = dispatch.dispatch_plan(forecast(spark, []), ()).first()
     assert (plan["has_violations"], plan["peak_forecast_kw"], plan["threshold_kw"], plan["peak_times"],
             plan["actions"]) == (False, 0.0, 850.0, [], [])
 
 
 def test_curve_falls_to_the_limit_but_not_below(spark):
     rows = forecast(spark, [700.0, 860.0, 1200.0])
-    curve = dispatch.dispatched_curve(rows, dispatch.dispatch_plan(rows, limit_kw=800.0))
+    curve = dispatch.dispatched_curve(rows, dispatch.dispatch_plan(rows, (), limit_kw=800.0))
     assert [row["dispatched_load_kw"] for row in curve.orderBy("forecast_time").collect()] == [700.0, 800.0, 905.0]
 
 
@@ -79,7 +79,7 @@ def test_live_projection(spark):
 
 
 def test_peak_card(spark):
-    plan = dispatch.dispatch_plan(forecast(spark, OVERLOAD), limit_kw=800.0)
+    plan = dispatch.dispatch_plan(forecast(spark, OVERLOAD), (), limit_kw=800.0)
     card = incidents.peak_cards(plan).first()
     assert card["title"] == "Peak Demand Breach (+150.0 kW)" and card["color"] == "#ef4444"
     assert card["action_text"].split("\n")[2] == (
@@ -87,7 +87,7 @@ def test_peak_card(spark):
     payload = json.loads(card["payload"])
     assert [f["value"] for f in payload["attachments"][0]["fields"]][:4] == [
         "950.0 kW", "800.0 kW", "+150.0 kW", "INR 52,500"]
-    nominal = incidents.peak_cards(dispatch.dispatch_plan(forecast(spark, [1.0]))).first()
+    nominal = incidents.peak_cards(dispatch.dispatch_plan(forecast(spark, [1.0]), ())).first()
     assert nominal["action_text"] == "No automated action required." and nominal["color"] == "#f59e0b"
 
 

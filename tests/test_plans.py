@@ -55,12 +55,20 @@ def test_recent_pushes_its_cutoff_to_the_scan(spark, lake_path):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(timestamp,ScalarSubquery", plan)
 
 
-def test_newest_first_pushes_its_cutoff_to_the_scan(spark, lake_path):
-    rows = keyed.newest_first(lake.read_lake(spark, lake_path), 100)
+def test_newest_first_pushes_its_cutoff_to_the_scan(spark, lake_path, tmp_path):
+    flat = str(tmp_path / "flat")
+    lake.read_lake(spark, lake_path).drop("year", "month", "day").write.parquet(flat)
+    rows = keyed.newest_first(spark.read.parquet(flat), 100)
     text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
     assert re.search(r"PushedFilters: \[Or\(GreaterThanOrEqual\(timestamp,ScalarSubquery", text)
 
 
+def test_newest_first_of_a_lake_reads_its_newest_folders(spark, lake_path):
+    rows = keyed.newest_first(lake.read_lake(spark, lake_path), 100)
+    text = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    assert re.search(r"PartitionFilters: \[[^\n]*make_date\(year", text)
+
+
 def test_dedup_limits_each_key_before_the_shuffle(spark, lake_path):
     plan = plan_of(medallion.dedup_latest(lake.read_lake(spark, lake_path)))
     final, shuffle, partial = plan.index("Final"), plan.index("Exchange hashpartitioning"), plan.index("Partial")

@@ -62,14 +62,13 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The building catalog.  It has at most the 25 nations of the benchmark, hence the hint."""
+    """The building catalog."""
     nation = table(spark, sf_dir, "nation").where("n_nationkey < 23")
-    rows = nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+    return nation.join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
         _code("B", "n_nationkey", 2).alias("building_id"),
         F.col("n_name").alias("building_name"), F.col("r_name").alias("category"),
         (100 + 5 * F.col("n_nationkey")).cast("double").alias("peak_capacity_kw"),
         F.concat(F.lit("Zone "), F.col("n_regionkey").cast("string")).alias("zone"))
-    return F.broadcast(rows)
 
 
 def meters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,8 @@ ten times slower).  A sum over rows is kept in two parts of a unit count, which
 hold any sum over 8e12 rows; sums of sums are DECIMAL(38).
 
 Values of more than 2**62 units (4.6e12 at the default scale) have no such count.
-They are added beside the units as whole units in DECIMAL(38), and if one is
-too large even for that (1e30 units), the total is null rather than wrong.  What
-is not a number or infinite is null.  Digits beyond ``scale`` (default 6, a
+They are added as doubles beside the units; a total too large for DECIMAL(38) is
+null rather than wrong.  What is not a number or infinite is null.  Digits beyond ``scale`` (default 6, a
 parameter of each function) are rounded.
 """
 
@@ -35,7 +34,7 @@ def half_up(value: Column | str, digits: int) -> Column:
     return F.when(column < 0, F.lit(0.0) - magnitude).otherwise(magnitude) + F.lit(0.0)
 
 
-MOST_UNITS = 1e30                   # of one value; 1e8 of them still fit a total
+MOST_UNITS = 1e30                   # of one value in a sum over a window; 1e8 of them still fit a total
 
 
 def _scaled(value: Column | str, scale: int) -> Column:
@@ -65,11 +64,9 @@ def sum_units(value: Column | str, scale: int = SCALE) -> Column:
     units = F.when(size <= float(2 ** 62), F.rint(scaled).cast("bigint"))
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1).cast("bigint"))).cast("decimal(38,0)")
     small = low + F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(38,0)") * F.lit(1 << LOW_BITS).cast("decimal(8,0)")
-    is_large = is_number(value) & (size > float(2 ** 62))
-    large = F.sum(F.when(is_large, decimal_units(value, scale))).cast("decimal(38,0)")
-    beyond = F.max(is_large & (size > MOST_UNITS))
-    both = F.coalesce(small + large, small, large)
-    return F.when(~F.coalesce(beyond, F.lit(False)), both.cast("decimal(38,0)"))
+    large = F.sum(F.when((size > float(2 ** 62)) & (size < float("inf")), scaled))
+    return F.when(large.isNull(), small).otherwise(F.coalesce(small, F.lit(0).cast("decimal(38,0)")) + large.try_cast("decimal(38,0)")) \
+        .cast("decimal(38,0)")
 
 
 def total_units(units: Column | str) -> Column:

@@ -95,9 +95,9 @@ def _with_plan(summary: DataFrame, limit_kw: float, tariff: float, tiers: Sequen
     })
 
 
-def dispatch_plan(forecast: DataFrame, keys: Sequence[str] = (), limit_kw: float = LIMIT_KW,
+def dispatch_plan(forecast: DataFrame, keys: Sequence[str], limit_kw: float = LIMIT_KW,
                   tariff: float = TARIFF_PER_KW, tiers: Sequence[Tier] = TIERS) -> DataFrame:
-    """J-13: one plan per series, or one for the whole forecast without ``keys``.
+    """J-13: one plan per series; ``keys`` name the series, and are empty only for a forecast of one.
 
     The hours above the limit are listed as ``HH:mm`` in time order; a series has
     at most one row per forecast hour.  An empty forecast gives a plan of zeros.

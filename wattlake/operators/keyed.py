@@ -100,17 +100,20 @@ def latest_per_meter(df: DataFrame, metrics: Sequence[str] = ("power_kw", "volta
     """E-08: the last non-null value of each metric per meter, in time order; at one time the highest ``tiebreak``.
 
     Two levels.  The first finds each metric's last time per meter; its buffers are times, so it is a hash aggregate
-    over all readings.  The second settles ties by event among the readings at those times only: a text in the buffer
-    makes it sort, which it does to a few readings per meter.
+    over all readings.  The second settles ties by event among the readings at those times only, with a group limit
+    before its exchange: a meter that repeats one time in a third of all rows sends a row per task.
     """
     rows = df.where(F.col(key).isNotNull())
-    last = rows.groupBy(key).agg(*[F.max(F.when(F.col(name).isNotNull(), F.col(ts))).alias(f"_{name}_at") for name in metrics])
-    at = {name: F.col(name).isNotNull() & (F.col(ts) == F.col(f"_{name}_at")) for name in metrics}
-    anywhere = F.coalesce(*[F.when(condition, True) for condition in at.values()], F.lit(False))
-    event = F.coalesce(F.col(tiebreak).cast("string"), F.lit("")) if tiebreak in df.columns else F.lit("")
-    values = [F.max(F.when(at[name], F.struct(event.alias("event"), F.col(name).alias("value"))))["value"].alias(name)
-              for name in metrics]
-    found = rows.join(last, key).where(anywhere).groupBy(key).agg(*values)
-    return last.select(key).join(found, key, "left")
-
-
+    last = rows.groupBy(key).agg(F.max(ts).alias("_newest"), *[
+        F.max(F.when(F.col(name).isNotNull(), F.col(ts))).alias(f"_{name}_at") for name in metrics])
+    event = F.col(tiebreak).cast("string") if tiebreak in df.columns else F.lit(None).cast("string")
+    # a meter without any known value keeps its newest time, so that it has a row
+    unknown = F.coalesce(*[f"_{name}_at" for name in metrics]).isNull() & F.col(ts).eqNullSafe(F.col("_newest"))
+    found = [F.when(unknown, F.struct(F.lit("").alias("metric"), F.lit(None).cast("double").alias("value")))]
+    for name in metrics:
+        at = F.col(name).isNotNull() & (F.col(ts) == F.col(f"_{name}_at"))
+        found.append(F.when(at, F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"))))
+    values = rows.join(last, key).select(key, event.alias("_event"), F.explode(F.array_compact(F.array(*found))).alias("_found")) \
+        .select(key, "_event", "_found.*")
+    latest = first_per_key(values, [key, "metric"], [F.desc_nulls_last("_event"), F.desc("value")])
+    return latest.groupBy(key).agg(*[F.max(F.when(F.col("metric") == name, F.col("value"))).alias(name) for name in metrics])

@@ -227,6 +227,24 @@ def _(spark, sf_dir):
         "naive": test.withColumn("prediction", F.col("lag_24"))}, KEYS)
 
 
+@register("model_selection", f"""
+    SELECT model, COUNT(*) - floor(COUNT(*) * 0.8::DOUBLE)::BIGINT AS test_samples, TRUE AS better_than_naive, TRUE AS as_chosen
+    FROM ({CAMPUS_HOURS}) CROSS JOIN (SELECT unnest(['RandomForestRegressor', 'RidgeRegressor']) AS model)
+    WHERE total_power_kw IS NOT NULL GROUP BY model""")
+def _(spark, sf_dir):
+    """Both models of the campus on the last fifth of its hours: each has a lower error than yesterday's load, and the
+    one with the lower error is the one that is kept."""
+    rows = campus(spark, sf_dir)
+    known = series.time_features(rows.where(F.col(series.LOAD).isNotNull()))
+    split = series.chronological_split(known.dropna("any", subset=list(series.FEATURES)), forecast.TRAIN_RATIO)
+    baseline = series.regression_metrics(split.where("NOT is_train").withColumn("prediction", F.col("lag_24"))).first()
+    chosen = forecast.select_model(rows)
+    lowest = min(found["RMSE"] for found in chosen.compared.values())
+    return spark.createDataFrame(
+        [(name, chosen.test_samples, found["RMSE"] < baseline["RMSE"], (found["RMSE"] == lowest) or name != chosen.name)
+         for name, found in chosen.compared.items()], "model string, test_samples bigint, better_than_naive boolean, as_chosen boolean")
+
+
 # --- forecast to audit trail -----------------------------------------------
 
 FLOW_LIMIT = 120.0

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
+from wattlake.functions.numeric import exact_sum, half_up
 from wattlake.operators import live, profiles
 from wattlake.operators.isolation_forest import isolation_forest_fit, with_features
-from wattlake.registry.base import register
+from wattlake.registry.base import register, rnd, total
 from wattlake.registry.detection import EVALUATE, FAULT_CARDS, GIVEN_SCORES, given_forest
 from wattlake.registry.profiles import NINE
 from wattlake.schema import TELEMETRY_COLUMNS
@@ -129,3 +130,18 @@ def _(spark, sf_dir):
     jobs.merge_batches(spark, f"{folder}/cards", f"{folder}/readings")
     return jobs.read_batches(spark, f"{folder}/cards", f"{folder}/readings") \
         .select("event_id", "event_type", "title", "color", "summary")
+
+
+@register("two_sinks", f"""
+    SELECT 'lake' AS sink, COUNT(*) AS records, {rnd(total('power_kw'), 2)} AS total_kw FROM telemetry
+    UNION ALL SELECT 'averages', COUNT(*), {rnd(total('avg_power_kw'), 2)} FROM sliding""")
+def _(spark, sf_dir):
+    """One parsed stream into the serving table and into the lake."""
+    folder = scratch_dir(spark, "two-sinks")
+    for query in jobs.start_telemetry_queries(event_stream(spark, sf_dir), f"{folder}/serving", f"{folder}/lake",
+                                              f"{folder}/checkpoints", available_now=True):
+        query.awaitTermination()
+    current = live.latest_version(jobs.read_window_aggregates(spark, f"{folder}/serving"))
+    return lake.read_lake(spark, f"{folder}/lake").select(F.lit("lake").alias("sink"), F.col("power_kw").alias("kw")) \
+        .unionByName(current.select(F.lit("averages").alias("sink"), F.col("avg_power_kw").alias("kw"))) \
+        .groupBy("sink").agg(F.count("*").alias("records"), half_up(exact_sum("kw"), 2).alias("total_kw"))
