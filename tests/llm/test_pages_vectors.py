@@ -136,3 +136,16 @@ def test_pipeline_odd_rows(spark, odd):
         assert stage(spark, docs.limit(0), "").count() == 0
     left = corpus_pipeline.different_documents(spark, docs, "").collect()
     assert sum(row["doc_id"] == 5 for row in left) == 1
+
+
+def test_pipeline_carries_other_columns(spark, odd):
+    from pyspark.sql import functions as F
+    names = ["row", "kept", "n_words", "carried", "n_bytes", "group", "a.b", "home", "bucket"]
+    docs = odd.select("doc_id", "text", F.lit(1).cast("long").alias("n_chars"),
+                      *[F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")).alias(name) for name in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        for row in stage(spark, docs, "").collect():
+            assert row["doc_id"] is None or all(row[name] == f"{name} of {row['doc_id']}" for name in names)
+    assert corpus_pipeline.new_passages(spark, docs, "").columns == docs.columns
+    same_hash_once = docs.where("doc_id = 5").unionByName(docs.where("doc_id = 5"))
+    assert corpus_pipeline.different_documents(spark, same_hash_once, "").count() == 1
