@@ -27,6 +27,7 @@ from wattlake.llm.common import WordCache, binaries, blocks, ragged, raw_texts,
 WORD_END = "</w>"
 FINAL = 0x1000               # added to a word's last character, which is an atom of its own
 PAIRS = 1_000_000            # entries of the compatibility table that a worker keeps
+# How the vocabulary's file splits a text into words (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 DECODE_TOKENS = 1 << 16      # tokens decoded at once
 
