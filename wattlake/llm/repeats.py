@@ -13,19 +13,21 @@ few runs of strings per hundred bytes, each with one key.
 2. slices   Each home sends, for every run with such a key, the run's bytes once, with the smallest id of the
             home's documents that have it: many copies in one home are one slice.  A key that too many slices carry
             is split: its runs are cut into their strings, which are dealt each by its own hash.
-3. sorting  A bucket sorts the suffixes of its slices.  Prefix polynomial hashes over the bucket give the hash of any
-            substring at once; suffixes are sorted by the hash of their first ``LENGTH`` bytes, and neighbours of equal
-            hash are compared byte for byte, so a collision cannot remove anything.  Where the bytes differ, binary
-            search over the prefix hashes finds the common extension of the two, and they are told apart there.
-            The smallest id of each class of equal suffixes goes back to the homes that sent them.
+3. sorting  A bucket sorts the suffixes of its slices, in ``SUBS`` parts of its keys one after another, equal slices
+            once.  Suffixes are put in order by their first 8 bytes, then merged: lists of suffixes with the same 8
+            bytes, two by two.  Each comparison finds the common extension of two suffixes by binary search over
+            prefix polynomial hashes, and is checked byte for byte, so a collision cannot remove anything.
+            Suffixes with an extension of ``LENGTH`` are one class from then on; its smallest id decides.  The spans
+            of strings that a smaller id has go back to the homes that sent the slices.
 4. marking  Each home marks what is covered, document by document.
 
-The text is shuffled once, by home; steps 1, 2 and 4 share that exchange.  Buckets and homes follow the session's
-shuffle partitions, as those follow the input.  A key that very many documents have (a passage in a third of them)
-reaches its bucket once per home.  So do its slices where they are equal; but the runs at the passage's two edges take in
-each document's own neighbouring bytes and differ, one slice per document.  Such keys have more than ``SPLIT`` slices and
-more than ``PER_HOME`` per home: only their strings within the passage are equal, once per home and string, and the
-others are spread over all buckets.
+The text is shuffled once, by home; steps 1, 2 and 4 share that exchange.  A home takes its documents in the order of
+id and text, so that places sent in step 2 mean the same in step 4, also if a task runs again.  Buckets and homes follow
+the session's shuffle partitions, as those follow the input.  A key that very many documents have (a passage in a third
+of them) reaches its bucket once per home.  So do its slices where they are equal; but the runs at the passage's two
+edges take in each document's own neighbouring bytes and differ, one slice per document.  Such keys have more than
+``SPLIT`` slices and more than ``PER_HOME`` per home: only their strings within the passage are equal, once per home and
+string, and the others are spread over all buckets.
 """
 
 from __future__ import annotations
@@ -38,24 +40,33 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import binaries, mix, parallelism, ragged, raw_texts, read
 
 LENGTH, GRAM = 50, 16
-STRETCH = 4 << 20                     # bytes hashed at once
+STRETCH = 1 << 18                     # bytes hashed at once
+SUBS = 16                             # parts of a bucket, sorted one after another
 SPLIT, PER_HOME = 4096, 4             # slices of a key, in all and per home that has it, from which on it is split
 LAST_ID = (1 << 63) - 1               # stands for a null id: after all others
 BASE = 0x9E3779B97F4A7C15 | 1
 CODES = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+UNDO = pow(BASE, -1, 1 << 64)
 U64 = np.uint64
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(n: int, base: int) -> np.ndarray:
-    """base**0 … base**(n-1), modulo 2**64, by doubling."""
-    out = np.ones(max(n, 1), U64)
+    """base**0 … base**(n-1), modulo 2**64, by doubling; short tables are kept."""
+    kept = _POWERS.get(base)
+    if kept is not None and len(kept) >= n:
+        return kept[:n]
+    size = 1 << max(STRETCH, n - 1).bit_length() if n <= 8 * STRETCH else n
+    out = np.ones(max(size, 1), U64)
     done = 1
     with np.errstate(over="ignore"):
-        while done < n:
+        while done < size:
             step = U64(pow(base, done, 1 << 64))
-            more = min(done, n - done)
+            more = min(done, size - done)
             out[done:done + more] = out[:more] * step
             done += more
+    if n <= 8 * STRETCH:
+        _POWERS[base] = out
     return out[:n]
 
 
@@ -66,7 +77,7 @@ class Prefixes:
         self.data = data
         with np.errstate(over="ignore"):
             self.sums = np.concatenate([np.zeros(1, U64), np.cumsum(CODES[data] * powers(len(data), BASE), dtype=U64)])
-        self.undo = powers(len(data) + 1, pow(BASE, -1, 1 << 64))
+        self.undo = powers(len(data) + 1, UNDO)
 
     def of(self, starts: np.ndarray, lengths) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -82,12 +93,10 @@ class Prefixes:
         return low
 
 
-def words_at(data: np.ndarray) -> np.ndarray:
+def words_at(data: np.ndarray, order: str = "<u8") -> np.ndarray:
     """The 8 bytes from each position on as one integer, zeros beyond the end."""
-    word = np.concatenate([data, np.zeros(8, np.uint8)]).astype(U64)
-    for shift in (1, 2, 4):
-        word[:-shift] |= word[shift:] << U64(8 * shift)
-    return word[:len(data)]
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray(len(data), order, padded, 0, (1,)).astype(U64)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -108,19 +117,24 @@ def runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.
     empty = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return empty, empty, empty, np.zeros(0, U64)
+    n = len(data) - GRAM + 1
     word = words_at(data)
     with np.errstate(over="ignore"):
-        grams = mix(word[:-8] ^ (mix(word[8:]) * U64(BASE)))[:len(data) - GRAM + 1]
+        grams = word[:n] * U64(BASE) + word[8:8 + n] * U64(UNDO)
+        grams ^= grams >> U64(32)
+        grams *= U64(0x94D049BB133111EB)
+        grams ^= grams >> U64(29)
     keys = sliding_min(grams, LENGTH - GRAM + 1)
-    owner = np.repeat(np.arange(len(starts)), np.maximum(0, lengths - LENGTH + 1))
-    at = ragged(starts, np.maximum(0, lengths - LENGTH + 1))
-    key = keys[at]
-    if not len(at):
-        return empty, empty, empty, np.zeros(0, U64)
-    edge = np.ones(len(at), bool)
-    edge[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+    stops = starts + np.maximum(0, lengths - LENGTH + 1)
+    edge = np.ones(len(keys), bool)
+    edge[1:] = keys[1:] != keys[:-1]
+    edge[starts[stops > starts]] = True
+    edge[stops[stops < len(keys)]] = True
     first = np.nonzero(edge)[0]
-    return owner[first], at[first], np.diff(np.append(first, len(at))), key[first]
+    owner = np.searchsorted(starts, first, side="right") - 1
+    count = np.diff(np.append(first, len(keys)))
+    real = first < stops[owner]
+    return owner[real], first[real], count[real], keys[first[real]]
 
 
 class Texts:
@@ -164,9 +178,22 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(blob, np.int64))
 
 
+def small(values: np.ndarray) -> bytes:
+    """Places in a home's text as 32-bit differences (a home is less than 4 GB: Arrow holds it in one array)."""
+    return np.diff(np.asarray(values).astype("<u4"), prepend=np.uint32(0)).tobytes()
+
+
+def large(blob: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(blob, "<u4"), dtype=np.uint32).astype(np.int64)
+
+
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (keys >> U64(33)) % U64(buckets)
+
+
 def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A stable order of the keys by bucket, the buckets that have some, and where each begins."""
-    number = (keys >> U64(33)) % U64(buckets)
+    number = bucket_of(keys, buckets)
     order = np.argsort(number, kind="stable")
     present, first = np.unique(number[order], return_index=True)
     return order, present, np.append(first, len(order))
@@ -183,31 +210,51 @@ def _first_of(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.nonzero(np.append(True, last[1:] != last[:-1]))[0] if len(last) else np.zeros(0, np.int64)
 
 
-def contents(texts: Texts, ids: np.ndarray, found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
-    """What each run's bytes are: their hash, the run of the smallest id with the same bytes, checked, and that id."""
-    owner, first, count, _ = found
-    length = count + LENGTH - 1
-    content = np.zeros(len(owner), U64)
-    for at in range(0, len(owner), 1 << 17):                     # prefix hashes of some hundred thousand runs at a time
-        part = slice(at, at + (1 << 17))
-        begin, end = int(first[part].min()), int((first[part] + length[part]).max())
-        content[part] = mix(Prefixes(texts.data[begin:end]).of(first[part] - begin, length[part]) + length[part].astype(U64))
-    order, heads = _first_of(ids[owner], content)
-    leader = np.empty(len(owner), np.int64)
+def home_texts(documents: pa.Table) -> tuple[np.ndarray, Texts, np.ndarray]:
+    """A home's documents by id and text: their order, the texts and the ids.  Rows equal in both are interchangeable."""
+    if not documents.num_rows:
+        return np.zeros(0, np.int64), Texts([]), np.zeros(0, np.int64)
+    items = raw_texts(documents.combine_chunks().to_batches()[0], "text")
+    ids = _ids(documents.column("doc"))
+    order = np.array(sorted(range(len(items)), key=lambda i: (ids[i], items[i])), np.int64)
+    return order, Texts([items[i] for i in order]), ids[order]
+
+
+def equal_slices(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the bytes from a and from b on are the same, 8 at a time (lengths are 8 at least)."""
+    word = np.ndarray(max(0, len(data) - 7), "<u8", np.ascontiguousarray(data), 0, (1,))
+    out = np.ones(len(a), bool)
+    for at in range(0, len(a), 1 << 15):
+        part = length[at:at + (1 << 15)]
+        steps = (part + 7) // 8
+        offset = np.minimum(8 * ragged(np.zeros(len(part), np.int64), steps), np.repeat(part - 8, steps))
+        differ = word[np.repeat(a[at:at + (1 << 15)], steps) + offset] != word[np.repeat(b[at:at + (1 << 15)], steps) + offset]
+        out[at:at + (1 << 15)] = np.add.reduceat(differ, np.cumsum(steps) - steps) == 0
+    return out
+
+
+def hashes(data: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each slice (by ascending place), stretch by stretch."""
+    out, at = np.zeros(len(first), U64), 0
+    while at < len(first):
+        begin = int(first[at])
+        stop = int(np.searchsorted(first, begin + STRETCH))
+        end = int((first[at:stop] + length[at:stop]).max())
+        out[at:stop] = mix(Prefixes(data[begin:end]).of(first[at:stop] - begin, length[at:stop]) + length[at:stop].astype(U64))
+        at = stop
+    return out
+
+
+def leaders(data: np.ndarray, first: np.ndarray, length: np.ndarray, content: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each slice the one of the smallest id with the same bytes: found by hash, checked; after a collision itself."""
+    order, heads = _first_of(ids, content)
+    leader = np.empty(len(first), np.int64)
     leader[order] = np.repeat(order[heads], np.diff(np.append(heads, len(order))))
-    others = np.nonzero((leader != np.arange(len(owner))) & (owner != owner[leader]))[0]
-    for at in range(0, len(others), 1 << 16):
-        some = others[at:at + (1 << 16)]
-        same = np.zeros(len(some), bool)
-        equal = length[some] == length[leader[some]]
-        fit = some[equal]
-        mine, theirs = (texts.data[ragged(first[x], length[fit])] for x in (fit, leader[fit]))
-        ends = np.cumsum(length[fit])
-        differ = np.add.reduceat(mine != theirs, ends - length[fit]) if len(fit) else np.zeros(0)
-        same[equal] = differ == 0
-        leader[some[~same]] = some[~same]                        # a collision: stands for itself
-        content[some[~same]] = mix(content[some[~same]] + first[some[~same]].astype(U64) + U64(1))
-    return content, leader, ids[owner][leader]
+    others = np.nonzero(leader != np.arange(len(first)))[0]
+    same = length[others] == length[leader[others]]
+    same[same] = equal_slices(data, first[others[same]], first[leader[others[same]]], length[others[same]])
+    leader[others[~same]] = others[~same]
+    return leader
 
 
 def different_runs(texts: Texts, first: np.ndarray, count: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -230,9 +277,9 @@ def different_runs(texts: Texts, first: np.ndarray, count: np.ndarray, heads: np
 def send_keys(documents: pa.Table, buckets: int) -> pa.Table:
     """Of one home: its keys and the number of different runs of each, to the keys' buckets.
 
-    Documents in different homes have different ids, so of ids it only tells whether a key has several (the last bit).
+    Of ids it only tells whether a key has several in this home (the last bit); a key in two homes counts as shared.
     """
-    texts, ids = Texts(raw_texts(documents.combine_chunks().to_batches()[0], "text")), _ids(documents.column("doc"))
+    _, texts, ids = home_texts(documents)
     owner, first, count, key = texts.runs()
     order, heads = _first_of(ids[owner], key)
     key, holder, several = key[order][heads], ids[owner][order], np.zeros(0, bool)
@@ -290,133 +337,236 @@ def among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
 def cut(texts: Texts, found: tuple[np.ndarray, ...], split: np.ndarray) -> tuple[np.ndarray, ...]:
     """The runs, those with a split key cut into their strings; a string's key is a hash of its own bytes."""
     owner, first, count, key = found
-    large = among(key, split)
-    if not large.any():
+    hot = among(key, split)
+    if not hot.any():
         return found
-    strings = ragged(first[large], count[large])
-    own = np.zeros(len(strings), U64)
-    for at in range(0, len(strings), 1 << 17):
-        part = strings[at:at + (1 << 17)]
-        begin = int(part.min())
-        own[at:at + (1 << 17)] = mix(Prefixes(texts.data[begin:int(part.max()) + LENGTH]).of(part - begin, LENGTH))
-    return (np.append(owner[~large], np.repeat(owner[large], count[large])), np.append(first[~large], strings),
-            np.append(count[~large], np.ones(len(strings), count.dtype)), np.append(key[~large], own))
+    strings = ragged(first[hot], count[hot])
+    own = hashes(texts.data, strings, np.full(len(strings), LENGTH))
+    place = np.argsort(np.append(first[~hot], strings), kind="stable")
+    return tuple(np.append(whole[~hot], part)[place] for whole, part in (
+        (owner, np.repeat(owner[hot], count[hot])), (first, strings), (count, np.ones(len(strings), count.dtype)), (key, own)))
+
+
+def joined_spans(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of strings by place, those that touch as one."""
+    order = np.argsort(first, kind="stable")
+    first, count = first[order], count[order]
+    new = np.append(True, first[1:] > first[:-1] + count[:-1])[:len(first)]
+    heads = np.nonzero(new)[0]
+    return first[heads], np.maximum.reduceat(first + count, heads) - first[heads] if len(heads) else count
 
 
 def send_slices(documents: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
-    """Of one home: its runs with shared keys, those with split keys as strings, each content once, to the keys' buckets."""
+    """Of one home: its runs with shared keys, those with split keys as strings, each content once, to the keys' buckets.
+
+    With each slice go the places that have it in documents of its smallest id.  Elsewhere in the home the whole run
+    is covered; these spans need no bucket and only travel along to step 4.
+    """
     shared = np.unique(np.frombuffer(b"".join(replies.column("keys").to_pylist()), U64))
     split = np.unique(np.frombuffer(b"".join(replies.column("split").to_pylist()), U64))
-    columns: list[list] = [[], [], [], [], [], [], []]
+    names = ["low", "lengths", "bytes", "times", "places", "parts", "local_first", "local_count"]
+    columns: list[list] = [[] for _ in range(2 + len(names))]
     if len(shared) and documents.num_rows:
-        texts, ids = Texts(raw_texts(documents.combine_chunks().to_batches()[0], "text")), _ids(documents.column("doc"))
+        _, texts, ids = home_texts(documents)
         found = texts.runs()
         wanted = among(found[3], shared)
-        found = cut(texts, tuple(x[wanted] for x in found), split)
-        content, leader, low = contents(texts, ids, found)
+        owner, first, count, key = cut(texts, tuple(x[wanted] for x in found), split)
+        length, mine = count + LENGTH - 1, ids[owner]
+        leader = leaders(texts.data, first, length, hashes(texts.data, first, length), mine)
+        low = mine[leader]
+        local = joined_spans(first[low < mine], count[low < mine])
         single = np.nonzero(leader == np.arange(len(leader)))[0]
-        _, once = np.unique(content[single], return_index=True)   # repeated within a document
-        single = single[np.sort(once)]
-        order, present, edges = by_bucket(found[3][single], buckets)
-        single = single[order]
+        part = bucket_of(key[single], buckets * SUBS).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        single, part = single[order], part[order]
+        rank = np.empty(len(leader), np.int64)
+        rank[single] = np.arange(len(single))
+        own = np.nonzero(low == mine)[0]
+        own = own[np.argsort(rank[leader[own]], kind="stable")]
+        times = np.bincount(rank[leader[own]], minlength=len(single))
+        before = np.append(0, np.cumsum(times))
         home = documents.column("home")[0].as_py()
-        for number, bucket in enumerate(present):
-            some = single[edges[number]:edges[number + 1]]
-            length = found[2][some] + LENGTH - 1
-            for column, value in zip(columns, (int(bucket), home, content[some].tobytes(), packed(low[some]), packed(length),
-                                               texts.data[ragged(found[1][some], length)].tobytes(),
-                                               b"" if number else split.tobytes())):   # comes back to step 4
+        edges = np.searchsorted(part, np.arange(buckets * SUBS + 1))
+        for bucket in np.unique(part // SUBS):
+            begin, end = edges[bucket * SUBS], edges[(bucket + 1) * SUBS]
+            some = single[begin:end]
+            whole = local if not columns[0] else (np.zeros(0, np.int64),) * 2
+            for column, value in zip(columns, (
+                    int(bucket), home, packed(low[some]), length[some].astype("<u4").tobytes(),
+                    texts.data[ragged(first[some], length[some])].tobytes(), times[begin:end].astype("<u4").tobytes(),
+                    small(first[own[before[begin]:before[end]]]),
+                    np.diff(edges[bucket * SUBS:(bucket + 1) * SUBS + 1]).astype("<u4").tobytes(),
+                    small(whole[0]), whole[1].astype("<u4").tobytes())):
                 column.append(value)
     return pa.table({"bucket": pa.array(columns[0], pa.int32()), "home": pa.array(columns[1], pa.int32()),
-                     **{name: binaries(column) for name, column in zip(("contents", "low", "lengths", "bytes", "split"), columns[2:])}})
-
-
-SLICE_SCHEMA = "bucket int, home int, contents binary, low binary, lengths binary, bytes binary, split binary"
-
-
-def sort_suffixes(data: np.ndarray, starts: np.ndarray, owner_low: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For suffixes at ``starts``: the smallest id of those with the same first ``LENGTH`` bytes."""
+                     **{name: binaries(column) for name, column in zip(names, columns[2:])}})
+
+
+SLICE_SCHEMA = ("bucket int, home int, low binary, lengths binary, bytes binary, times binary, places binary, parts binary, "
+                "local_first binary, local_count binary")
+
+
+class Suffixes:
+    """Comparison of suffixes to depth ``LENGTH``, by their common extension."""
+
+    def __init__(self, prefixes: Prefixes, starts: np.ndarray):
+        self.prefixes, self.starts = prefixes, starts
+        self.whole = prefixes.of(starts, LENGTH)
+        self.word = words_at(prefixes.data)
+
+    def agree(self, a: np.ndarray, b: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Whether the first ``reach`` bytes from places a and b on are the same."""
+        differ = np.zeros(len(a), bool)
+        last = len(self.word) - 1
+        for step in range(0, LENGTH, 8):
+            bits = (8 * np.clip(reach - step, 0, 8)).astype(U64)
+            mask = np.where(bits == 0, U64(0), U64(0xFFFFFFFFFFFFFFFF) >> (U64(64) - np.maximum(bits, U64(1))))
+            differ |= (self.word[np.minimum(a + step, last)] ^ self.word[np.minimum(b + step, last)]) & mask != 0
+        return ~differ
+
+    def compare(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """-1, 0 or 1 for the suffixes numbered a and b: by the first byte after their common extension."""
+        x, y = self.starts[a], self.starts[b]
+        reach = np.full(len(a), LENGTH, np.int64)
+        other = np.nonzero(self.whole[a] != self.whole[b])[0]
+        reach[other] = self.prefixes.common(x[other], y[other], np.full(len(other), LENGTH - 1))
+        data = self.prefixes.data
+        at = np.minimum(reach, LENGTH - 1)
+        out = np.where(reach == LENGTH, 0, np.sign(data[x + at].astype(np.int16) - data[y + at]))
+        wrong = ~self.agree(x, y, reach)
+        wrong[other] |= out[other] == 0
+        for i in np.nonzero(wrong)[0]:                                # a collision: byte for byte
+            one, two = (data[z[i]:z[i] + LENGTH].tobytes() for z in (x, y))
+            out[i] = (one > two) - (one < two)
+        return out
+
+
+def sort_suffixes(prefixes: Prefixes, starts: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """For suffixes at ``starts``: the smallest id of those with the same first ``LENGTH`` bytes.
+
+    A merge sort from lists of one suffix up, all lists of a round at once.  Only suffixes with the same first 8
+    bytes are in one group of lists; a suffix equal to one of the other list leaves for that one's class.
+    """
+    if not len(starts):
+        return low
+    suffixes = Suffixes(prefixes, starts)
+    least, parent = low.copy(), np.arange(len(starts))
+    begins = words_at(prefixes.data, ">u8")[starts]
+    node = np.argsort(begins, kind="stable")
+    new = np.append(True, begins[node[1:]] != begins[node[:-1]])
+    group = np.cumsum(new)
+    number = np.arange(len(node)) - np.nonzero(new)[0][group - 1]      # of the list within its group
+    while True:
+        lists = np.append(True, (group[1:] != group[:-1]) | (number[1:] != number[:-1]))
+        first = np.nonzero(lists)[0]                                   # of each list
+        size = np.diff(np.append(first, len(node)))
+        of = np.cumsum(lists) - 1
+        alone = np.append(True, group[first[1:]] != group[first[:-1]]) & np.append(group[first[1:]] != group[first[:-1]], True)
+        if alone.all():
+            break
+        going = ~alone[of]                                             # groups of one list are in order
+        if not going.all():
+            node, group, number = node[going], group[going], number[going]
+            continue
+        odd = np.nonzero(number % 2 == 1)[0]                           # to be placed in the list before theirs
+        start = first[of[odd] - 1]
+        bottom, top = np.zeros(len(odd), np.int64), size[of[odd] - 1].copy()
+        into = np.full(len(odd), -1)
+        open_ = np.arange(len(odd))
+        while len(open_):
+            middle = (bottom[open_] + top[open_]) // 2
+            against = node[start[open_] + middle]
+            side = suffixes.compare(against, node[odd[open_]])
+            into[open_[side == 0]] = against[side == 0]
+            bottom[open_] = np.where(side < 0, middle + 1, bottom[open_])
+            top[open_] = np.where(side > 0, middle, top[open_])
+            open_ = open_[(side != 0) & (bottom[open_] < top[open_])]
+        equal = into >= 0
+        gone = node[odd[equal]]
+        parent[gone] = into[equal]
+        np.minimum.at(least, into[equal], least[gone])
+        place = 2 * np.arange(len(node)) + 1
+        place[odd] = 2 * (start + bottom)
+        stay = np.ones(len(node), bool)
+        stay[odd[equal]] = False
+        order = np.argsort(place[stay], kind="stable")
+        node, group, number = node[stay][order], group[stay][order], number[stay][order] // 2
+    while True:
+        above = parent[parent]
+        if (above == parent).all():
+            return least[parent]
+        parent = above
+
+
+def covered_spans(data: np.ndarray, low: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The spans of strings in slices (laid end to end) that a smaller id has: number of the slice, first string, strings."""
+    begin, strings = np.cumsum(length) - length, length - LENGTH + 1
     prefixes = Prefixes(data)
-    value = prefixes.of(starts, LENGTH)
-    order = np.argsort(value, kind="stable")                      # numpy's stable sort is a merge or radix sort
-    ranked = value[order]
-    heads = np.nonzero(np.append(True, ranked[1:] != ranked[:-1]))[0]
-    span = np.diff(np.append(heads, len(order)))
-    word = words_at(data)
-    leader = np.repeat(order[heads], span)
-    differ = np.zeros(len(order), bool)
-    for step in (0, 8, 16, 24, 32, 40, LENGTH - 8):
-        differ |= word[starts[order] + step] != word[starts[leader] + step]
-    least = np.minimum.reduceat(owner_low[order], heads) if len(heads) else owner_low
-    out = np.empty(len(order), np.int64)
-    out[order] = np.repeat(least, span)
-    for number in np.unique(np.searchsorted(heads, np.nonzero(differ)[0], side="right") - 1):
-        members = order[heads[number]:heads[number] + span[number]]          # equal hash, different bytes
-        most = np.minimum(LENGTH, ends[members] - starts[members])
-        most = np.minimum(most, most[0])
-        extent = prefixes.common(np.full(len(members), starts[members[0]]), starts[members], most)
-        by_bytes: dict[tuple, list[int]] = {}
-        for member, reach in zip(members, extent):
-            by_bytes.setdefault((int(reach), data[starts[member]:starts[member] + LENGTH].tobytes()), []).append(member)
-        for same in by_bytes.values():
-            out[same] = owner_low[same].min()
-    return out
+    content = mix(prefixes.of(begin, length) + length.astype(U64))
+    leader = leaders(data, begin, length, content, low)
+    single = np.nonzero(leader == np.arange(len(leader)))[0]
+    least = sort_suffixes(prefixes, ragged(begin[single], strings[single]), np.repeat(low[single], strings[single]))
+    edges = np.cumsum(strings[single]) - strings[single]
+    rank = np.empty(len(leader), np.int64)
+    rank[single] = np.arange(len(single))
+    told = np.nonzero(np.minimum.reduceat(least, edges)[rank[leader]] < low)[0]
+    place = edges[rank[leader[told]]]
+    hit = least[ragged(place, strings[told])] < np.repeat(low[told], strings[told])
+    slice_ = np.repeat(told, strings[told])
+    offset = ragged(np.zeros(len(told), np.int64), strings[told])
+    inner = np.append(False, hit[1:] & hit[:-1] & (slice_[1:] == slice_[:-1]))[:len(hit)]
+    first = np.nonzero(hit & ~inner)[0]
+    span = np.add.reduceat(hit, first).astype(np.int64) if len(first) else np.zeros(0, np.int64)
+    return slice_[first], offset[first], span
 
 
 def first_holders(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each slice sent, the smallest id that has each of its strings; to the slice's home."""
-    lows = [unpacked(x) for x in table.column("low").to_pylist()]
-    lengths = [unpacked(x) for x in table.column("lengths").to_pylist()]
-    counts = np.array([len(x) for x in lows], np.int64)
-    low, length = np.concatenate(lows), np.concatenate(lengths)
-    content = np.frombuffer(b"".join(table.column("contents").to_pylist()), U64)
-    data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-    home = np.repeat(table.column("home").to_numpy(), counts)
-    begin = np.cumsum(length) - length
-    strings = length - LENGTH + 1
-    least = sort_suffixes(data, ragged(begin, strings), np.repeat(low, strings), np.repeat(begin + length, strings))
-    edges = np.cumsum(strings) - strings
-    told = np.minimum.reduceat(least, edges) < low                # nothing to tell if the home's own id is the smallest
-    columns: list[list] = [[], [], [], [], []]
-    split = {number: keys for number, keys in zip(table.column("home").to_pylist(), table.column("split").to_pylist()) if keys}
-    for number in np.union1d(home[told], np.array(list(split), np.int32)):
-        some = np.nonzero(told & (home == number))[0]
-        for column, value in zip(columns, (int(number), content[some].tobytes(), packed(strings[some]),
-                                           packed(least[ragged(edges[some], strings[some])]), split.get(int(number), b""))):
-            column.append(value)
-    return pa.table({"home": pa.array(columns[0], pa.int32()),
-                     **{name: binaries(column) for name, column in zip(("contents", "strings", "least", "split"), columns[1:])}})
-
-
-HOLDER_SCHEMA = "home int, contents binary, strings binary, least binary, split binary"
-
-
-def covered_bytes(texts: Texts, ids: np.ndarray, replies: pa.Table) -> np.ndarray:
+    """Of one bucket: the places of strings that a smaller id has, to the slices' homes; local spans go along."""
+    sent_ = {name: table.column(name).to_pylist() for name in table.column_names}
+    low, length = [unpacked(x) for x in sent_["low"]], [np.frombuffer(x, "<u4").astype(np.int64) for x in sent_["lengths"]]
+    times, places = [np.frombuffer(x, "<u4").astype(np.int64) for x in sent_["times"]], [large(x) for x in sent_["places"]]
+    slices = [np.append(0, np.cumsum(np.frombuffer(x, "<u4").astype(np.int64))) for x in sent_["parts"]]
+    ends = [np.append(0, np.cumsum(x)) for x in length]
+    uses = [np.append(0, np.cumsum(x)) for x in times]
+    found: list[list] = [[] for _ in low]
+    for part in range(SUBS):
+        cut_ = [slice(x[part], x[part + 1]) for x in slices]
+        if not any(x.stop > x.start for x in cut_):
+            continue
+        data = np.frombuffer(b"".join(memoryview(blob)[end[x.start]:end[x.stop]]
+                                      for blob, end, x in zip(sent_["bytes"], ends, cut_)), np.uint8)
+        which, offset, span = covered_spans(data, *(np.concatenate([y[x] for y, x in zip(values, cut_)]) for values in (low, length)))
+        counts = [x.stop - x.start for x in cut_]
+        sender = np.repeat(np.arange(len(cut_)), counts)[which]
+        edges = np.cumsum(counts) - counts
+        for number in np.unique(sender):
+            of = sender == number
+            own = which[of] - edges[number] + cut_[number].start
+            repeat = times[number][own]
+            found[number].append((places[number][ragged(uses[number][own], repeat)] + np.repeat(offset[of], repeat),
+                                  np.repeat(span[of], repeat)))
+    rows = []
+    for number, pieces in enumerate(found):
+        first = [large(sent_["local_first"][number])] + [x for x, _ in pieces]
+        count = [np.frombuffer(sent_["local_count"][number], "<u4").astype(np.int64)] + [x for _, x in pieces]
+        first, count = joined_spans(np.concatenate(first), np.concatenate(count))
+        if len(first):
+            rows.append((sent_["home"][number], small(first), count.astype("<u4").tobytes()))
+    return pa.table({"home": pa.array([x[0] for x in rows], pa.int32()), "first": binaries([x[1] for x in rows]),
+                     "strings": binaries([x[2] for x in rows])})
+
+
+HOLDER_SCHEMA = "home int, first binary, strings binary"
+
+
+def covered_bytes(texts: Texts, replies: pa.Table) -> np.ndarray:
     """Which bytes of a home's texts lie in a string that a smaller id has."""
-    found = cut(texts, texts.runs(), np.unique(np.frombuffer(b"".join(replies.column("split").to_pylist()), U64)))
-    owner, first, count, _ = found
-    content, _, low = contents(texts, ids, found)
-    begin = np.zeros(len(texts.data) + LENGTH + 1, np.int32)
-    mine = ids[owner]
-
-    def mark(starts: np.ndarray):
-        np.add.at(begin, starts, 1)
-        np.add.at(begin, starts + LENGTH, -1)
-
-    local = low < mine                                            # the whole run is in a smaller document of this home
-    mark(ragged(first[local], count[local]))
-    told = np.frombuffer(b"".join(replies.column("contents").to_pylist()), U64)
-    if len(told):
-        strings = np.concatenate([unpacked(x) for x in replies.column("strings").to_pylist()])
-        least = np.concatenate([unpacked(x) for x in replies.column("least").to_pylist()])
-        edges = np.cumsum(strings) - strings
-        order = np.argsort(told, kind="stable")
-        place = order[np.minimum(np.searchsorted(told[order], content), len(told) - 1)]
-        asked = np.nonzero((told[place] == content) & ~local)[0]
-        asked = asked[strings[place[asked]] == count[asked]]
-        hit = least[ragged(edges[place[asked]], count[asked])] < np.repeat(mine[asked], count[asked])
-        mark(ragged(first[asked], count[asked])[hit])
-    return np.cumsum(begin)[:len(texts.data)] > 0
+    change = np.zeros(len(texts.data) + 1, np.int32)
+    for first, strings in zip(replies.column("first").to_pylist(), replies.column("strings").to_pylist()):
+        first = large(first)
+        np.add.at(change, first, 1)
+        np.add.at(change, first + np.frombuffer(strings, "<u4") + (LENGTH - 1), -1)
+    return np.cumsum(change)[:len(texts.data)] > 0
 
 
 def whole_characters(data: np.ndarray, covered: np.ndarray) -> np.ndarray:
@@ -449,7 +599,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
     results = ["n_bytes", "n_removed", "n_spans", "kept"]
     keep = [name for name in keep if name not in (key, *results)]
     buckets = 2 * parallelism(df.sparkSession)
-    rows = df.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("home"), F.col(key).cast("long").alias("doc"),
+    rows = df.select(F.pmod(F.xxhash64(key, text), F.lit(buckets)).cast("int").alias("home"), F.col(key).cast("long").alias("doc"),
                      F.col(text).cast("string").alias("text"), F.col(key).alias("__key"),
                      *[F.col(f"`{name}`").alias(f"__{name}") for name in keep])
     holders = sent(rows, buckets, split).groupBy("bucket").applyInArrow(first_holders, HOLDER_SCHEMA)
@@ -459,9 +609,9 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
         schema = schema.add(name, kind)
 
     def finish(documents: pa.Table, replies: pa.Table) -> pa.Table:
-        documents = documents.combine_chunks()
-        texts = Texts(raw_texts(documents.to_batches()[0], "text")) if documents.num_rows else Texts([])
-        covered = covered_bytes(texts, _ids(documents.column("doc")), replies)
+        order, texts, _ = home_texts(documents)
+        documents = documents.take(pa.array(order)).combine_chunks()
+        covered = covered_bytes(texts, replies)
         if characters:
             covered = whole_characters(texts.data, covered)
         removed, spans, kept = [], [], []
