@@ -47,6 +47,7 @@ BLOCK = 2 << 20
 SMALL = 11                       # sizes up to this send subsets
 TILE = (256, 1024)               # sets held against sets in one task, after the first links
 FIFTHS = 2                       # of the domain of shingles, for the first test
+FILTER_BITS = 1 << 26            # of the bitmap that finds the texts still needed
 U64 = np.uint64
 
 
@@ -256,6 +257,21 @@ def shared_lists(sets: DataFrame) -> DataFrame:
         .select("list", F.explode("vertices").alias("vertex")).distinct()
 
 
+def likely(rows: DataFrame, column: str, some: DataFrame) -> DataFrame:
+    """The rows whose ``column`` has a value (or null) that ``some`` has, and few others, without an exchange of the rows.
+
+    ``some`` marks a bitmap of ``FILTER_BITS`` bits by hash: 8 MB at most are broadcast, whatever there is to mark.  The more
+    is marked the more others pass; none of its own is lost.
+    """
+    place = (F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1).alias("place")
+    marks = some.select(place).groupBy(F.bitmap_bucket_number("place").alias("part")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    bit = F.bitmap_bit_position("place").cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.select("*", place).withColumn("part", F.bitmap_bucket_number("place")).join(F.broadcast(marks), "part") \
+        .where(F.getbit(byte, bit % 8) == 1).select(*rows.columns)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar.  Each text is unpacked once per batch it occurs in."""
     one = sets.select(F.col("vertex").alias("a"), F.col("packed").alias("packed_a"))
@@ -388,9 +404,8 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                 [pa.array(set_numbers(values, counts)), pa.array(counts.astype(np.int64)), binaries(list(map(packer.compress, items)))],
                 ["vertex", "n_shingles", "packed"])
 
-    holders = mixed.select(F.col("doc").alias("holder")).distinct()
-    some = stored(rows.join(holders, rows["doc"].eqNullSafe(holders["holder"]), "left_semi").select("text")
-                  .mapInArrow(pack, "vertex long, n_shingles long, packed binary")
+    mixed = stored(mixed, "mixed")
+    some = stored(likely(rows, "doc", mixed).select("text").mapInArrow(pack, "vertex long, n_shingles long, packed binary")
                   .join(mixed.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]), "sets")
     sets = stored(some.join(count_shared(some, "packed", False), "vertex")
                   .where(F.col("n_shingles") - F.col("shared") <= n_least)
