@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -147,6 +148,43 @@ def test_repeats_stretches_and_collisions():
     assert repeats.Prefixes(data).common(np.array([0, 0]), np.array([5, 60]), np.array([50, 50])).tolist() == [50, 0]
 
 
+def least_by_bytes(data, starts, low):
+    found = {}
+    for at, key in zip(starts, low):
+        found[data[at:at + 50]] = min(key, found.get(data[at:at + 50], key))
+    return [found[data[at:at + 50]] for at in starts]
+
+
+@pytest.mark.parametrize("letters", [b"a", b"ab", b"abcdefgh"])
+def test_suffixes_are_merged_by_common_extensions(letters, monkeypatch):
+    dice, compared, extended = random.Random(3), [], []
+    compare, common = repeats.Suffixes.compare, repeats.Prefixes.common
+    monkeypatch.setattr(repeats.Suffixes, "compare", lambda self, a, b: (compared.append(len(a)), compare(self, a, b))[1])
+    monkeypatch.setattr(repeats.Prefixes, "common", lambda self, a, b, most: (extended.append(len(a)), common(self, a, b, most))[1])
+    text = bytes(dice.choices(letters, k=400))
+    items = [text[at:at + dice.randint(50, 100)] for at in dice.choices(range(300), k=30)]
+    items += [item[:40] + b"#" + item[41:] for item in items[:9]]                   # common extensions short of 50
+    length = np.array([len(item) for item in items])
+    starts, low = repeats.ragged(np.cumsum(length) - length, length - 49), np.repeat(np.array(dice.choices(range(9), k=39)), length - 49)
+    data = b"".join(items)
+    wanted = least_by_bytes(data, starts, low)
+    prefixes = repeats.Prefixes(np.frombuffer(data, np.uint8))
+    assert repeats.sort_suffixes(prefixes, starts, low).tolist() == wanted
+    assert sum(compared) > 0 and sum(extended) > 0
+    monkeypatch.setattr(repeats.Suffixes, "compare", lambda self, a, b: np.ones(len(a), int))
+    assert repeats.sort_suffixes(prefixes, starts, low).tolist() == low.tolist()    # classes come from the comparisons alone
+
+
+def test_suffixes_with_colliding_hashes(monkeypatch):
+    monkeypatch.setattr(repeats.Prefixes, "of", lambda self, starts, lengths: np.zeros(len(starts), np.uint64))
+    dice = random.Random(4)
+    data = bytes(dice.choices(b"ab", k=300)) * 2 + b"c" * 60
+    starts = np.arange(len(data) - 49)
+    low = np.array(dice.choices(range(50), k=len(starts)))
+    got = repeats.sort_suffixes(repeats.Prefixes(np.frombuffer(data, np.uint8)), starts, low)
+    assert got.tolist() == least_by_bytes(data, starts, low)
+
+
 def test_repeats_keep_whole_characters():
     data = np.frombuffer("é日x".encode(), np.uint8)
     covered = np.array([True, True, True, True, False, True])
