@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -47,6 +48,23 @@ def test_pages_by_hand(model):
         "", "", ""]
 
 
+def test_deep_pages_take_linear_time(model):
+    article = "<article><h1>A title of some words</h1><p>" + "A sentence of prose, which goes on. " * 20 + "</p></article>"
+    for deep in ("<i>" * 170_000 + "<p>" * 170_000, "<p><table>" + "<i>" * 50_000 + "</p>" * 50_000, "<li>" * 50_000):
+        start = time.process_time()
+        assert isinstance(pages.main_texts([article + deep], model)[0], str)
+        assert time.process_time() - start < 120                     # quadratic steps would take hours
+
+
+def test_misplaced_tags():
+    def outline(node):
+        return [node.tag, *(child if isinstance(child, str) else outline(child) for child in node.children)]
+    assert outline(parse("<p>a<i>b<p>c</i>d<div>e</p>f</div></span>g")) == [
+        "html", ["p", "a", ["i", "b"]], ["p", "c", "d"], ["div", "e", "f"], "g"]
+    assert outline(parse("<ul><li>a<ul><li>b</ul><li>c</ul><table><tr><td>x</div></i><td>y</table>z")) == [
+        "html", ["ul", ["li", "a", ["ul", ["li", "b"]]], ["li", "c"]], ["table", ["tr", ["td", "x"], ["td", "y"]]], "z"]
+
+
 def test_pages_odd_rows(spark, model):
     rows = spark.createDataFrame([(1, "u", None, "t"), (1, "u", "", "t"), (None, None, "<p>" + "word " * 20_000, "t"), (3, "u", "</div>", "t")],
                                  "page_id long, url string, html string, text string")

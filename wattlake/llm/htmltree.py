@@ -20,6 +20,8 @@ CLOSE_P = BLOCK - {"br", "body", "html", "li", "dd", "dt", "td", "th", "tr", "tb
                    "summary", "figcaption"}
 SCOPE = set("article aside blockquote body div dl fieldset figure footer form header html main nav ol section table td "
             "th ul details".split())
+LIST_SCOPE = {"ul", "ol", "dl", "table", "select", "body", "div", "section", "article", "nav"}
+WALLS = SCOPE | {"table", "body"}      # what the end tag of an inline element does not reach beyond
 
 # Words in class, id and role attributes, by the part of a page they hint at.
 HINTS = {
@@ -51,37 +53,57 @@ class Node:
 
 
 class Builder(HTMLParser):
-    """Builds the tree; unclosed and misplaced tags are repaired as browsers do in the common cases."""
+    """Builds the tree; unclosed and misplaced tags are repaired as browsers do in the common cases.
+
+    The open elements are a path from the root; for each tag the places of its open elements on that path are kept, so
+    that a tag finds what it closes without walking the path, however deep it is.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("html", [], None)
+        self.root = Node("html", [], None)
+        self.path = [self.root]
+        self.places: dict[str, list[int]] = {}
+        self.has_body = False
+
+    @property
+    def at(self) -> Node:
+        return self.path[-1]
 
     def close(self):
         super().close()
         return self.root
 
+    def innermost(self, tags: set[str]) -> int:
+        """The place of the innermost open element with one of the tags; 0, the root's, if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
+
+    def shorten(self, place: int):
+        """Closes the element at a place and all within it."""
+        for node in self.path[place:]:
+            self.places[node.tag].pop()
+        del self.path[place:]
+
     def leave(self, tags: set[str], scope: set[str]):
-        node = self.at
-        while node is not self.root and node.tag not in scope:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            node = node.parent
+        """Closes the innermost element with one of the tags, unless a scope's element lies between (or is it)."""
+        place = self.innermost(tags)
+        if place > self.innermost(scope):
+            self.shorten(place)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("html", "body") and any(isinstance(x, Node) and x.tag == tag for x in self.root.children) or tag == "html":
+        if tag == "html" or tag == "body" and self.has_body:
             return
         if tag in CLOSE_P:
             self.leave({"p"}, SCOPE)
         if tag in CLOSES:
-            scope = {"ul", "ol", "dl", "table", "select", "body", "div", "section", "article", "nav"}
             for _ in CLOSES[tag]:
-                self.leave(CLOSES[tag], scope)
+                self.leave(CLOSES[tag], LIST_SCOPE)
         node = Node(tag, attrs, self.at)
         self.at.children.append(node)
+        self.has_body |= tag == "body" and self.at is self.root
         if tag not in VOID:
-            self.at = node
+            self.places.setdefault(tag, []).append(len(self.path))
+            self.path.append(node)
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -90,14 +112,9 @@ class Builder(HTMLParser):
             self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node is not self.root:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            if node.tag in ("table", "body") or node.tag in SCOPE and tag not in BLOCK:
-                return
-            node = node.parent
+        place = self.innermost({tag})
+        if place and place >= self.innermost({"table", "body"} if tag in BLOCK else WALLS):
+            self.shorten(place)
 
     def handle_data(self, data):
         if data:
