@@ -1,5 +1,6 @@
 """BPE, word pieces and packing against the tokenizers library."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -127,6 +128,29 @@ def test_packing(spark, sf_dir, documents, wild):
     assert (ordered[1:] >= ordered[:-1]).all()                   # neighbours on the curve are neighbours in sequences
 
 
+def test_packing_pads_little_with_many_partitions(spark, sf_dir):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        rows = packing.op9_packing(spark, sf_dir).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = rows.groupby("sequence_id")["length"].sum()
+    assert 1 - sizes.sum() / (2048 * len(sizes)) < 0.01
+    assert packing.n_ranges(0, 2048, 200) == 1 and packing.n_ranges(10**13, 2048, 200) > 100_000
+    assert packing.n_ranges(2 * 10**8, 2048, 200) == 200
+
+
+def test_packing_wide_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ranks = packing.ranks_file(path)
+    assert packing.id_type(ranks) == "<u2"
+    wider = ranks.rstrip() + b"\n" + base64.b64encode("\U0001F9ED\U0001F9ED\U0001F9ED".encode()) + b" 70000\n"
+    assert packing.id_type(wider) == "<u4"
+    rows = packing.pack(spark.createDataFrame([(1, "x")], "doc_id long, text string"), wider, public_tokenizers.PATTERN).collect()
+    assert np.frombuffer(rows[0]["ids"], "<u4").tolist() == packing.Encoder(wider, public_tokenizers.PATTERN).encode("x").tolist()
+
+
 def test_packing_long_white_space(spark):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     encoder = packing.Encoder(packing.ranks_file(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)

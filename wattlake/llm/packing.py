@@ -5,7 +5,9 @@
 2. The tokenized documents are written once, in the folder all executors share: the range sort reads its input
    twice (bounds, then rows), and a lost executor then costs a read, not the tokenizing.
 3. They are range-sorted by (key, hash of id and content), so that equal documents do not all meet in one task,
-   and each range is cut into sequences of ``size`` tokens.  Only the last sequence of a range can be short.
+   and each range is cut into sequences of ``size`` tokens.  Only the last sequence of a range can be short.  The
+   number of ranges follows the tokens, not the session: a range has some 128 sequences at least and 64 million
+   tokens at most, so short sequences are under one in a hundred from 128 sequences on, and memory is bounded.
 
 Ids are those of the tokenizers library for the byte-level vocabulary, computed with tiktoken from the same
 vocabulary as ranks, which is several times faster; the tests hold the two against each other.
@@ -29,6 +31,7 @@ from wattlake.session import stored
 
 SLOTS, AXES, BITS = 512, 3, 10         # hashed token slots, dimensions and bits per dimension of the grid
 END_OF_TEXT, END_ID = "<|endoftext|>", 50256
+LEAST_SEQUENCES, MOST_TOKENS = 128, 1 << 26            # of a range, on average
 LONG_TEXT = 1 << 16                    # white-space characters from which on a run is encoded on its own
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")     # what \\s is in the pattern
 
@@ -120,8 +123,20 @@ def _worker(ranks: bytes, pattern: str, made: dict = {}) -> Encoder:  # noqa: B0
     return made[key]
 
 
+def id_type(ranks: bytes) -> str:
+    """How ids are written between the steps: 16 bits each if the vocabulary fits, else 32."""
+    most = max((int(line.split()[1]) for line in ranks.splitlines() if line), default=0)
+    return "<u2" if max(most, END_ID) < 1 << 16 else "<u4"
+
+
+def n_ranges(tokens: int, size: int, tasks: int) -> int:
+    """Ranges for so many tokens in all: as many as tasks, unless they got too few or too many tokens."""
+    return max(1, -(-tokens // MOST_TOKENS), min(tasks, tokens // (LEAST_SEQUENCES * size)))
+
+
 def tokenize(df: DataFrame, ranks: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, ids (16 bits each), curve (Hilbert number), tie (a hash) of each row."""
+    """key, ids, n_ids, curve (Hilbert number), tie (a hash) of each row; ids have ``id_type``'s bits each."""
+    kind_of_id = id_type(ranks)
     shared = df.sparkSession.sparkContext.broadcast((ranks, pattern))
     signs = projection()
 
@@ -131,13 +146,14 @@ def tokenize(df: DataFrame, ranks: bytes, pattern: str, key: str = "doc_id", tex
             ids = [encoder.encode(value.decode("utf-8", "replace")) for value in raw_texts(batch, "text")]
             points = np.array([place(x, signs) for x in ids]).reshape(-1, AXES)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), binaries([x.astype("<u2").tobytes() for x in ids]),
-                 pa.array(hilbert(points), pa.int64())], ["key", "tie", "ids", "curve"])
+                [batch.column(0), batch.column(1), binaries([x.astype(kind_of_id).tobytes() for x in ids]),
+                 pa.array([len(x) for x in ids], pa.int64()), pa.array(hilbert(points), pa.int64())],
+                ["key", "tie", "ids", "n_ids", "curve"])
 
     rows = df.select(F.col(key).alias("key"), F.xxhash64(F.col(key), F.col(text)).alias("tie"),
                      F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, tie long, ids binary, curve long")
+    return rows.mapInArrow(run, f"key {kind}, tie long, ids binary, n_ids long, curve long")
 
 
 def pack(df: DataFrame, ranks: bytes, pattern: str, size: int = 2048, key: str = "doc_id",
@@ -149,6 +165,8 @@ def pack(df: DataFrame, ranks: bytes, pattern: str, size: int = 2048, key: str =
     are packed once each.  An empty table gives no rows.  Other columns are not carried.
     """
     ready = stored(tokenize(df, ranks, pattern, key, text), "tokens")
+    tokens = ready.agg(F.sum("n_ids")).first()[0] or 0
+    kind_of_id = id_type(ranks)
     kind = ready.schema["key"].dataType.simpleString()
     schema = (f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, "
               "`offset` long, curve long")
@@ -161,7 +179,7 @@ def pack(df: DataFrame, ranks: bytes, pattern: str, size: int = 2048, key: str =
             keys = batch.column(0)
             owners = []
             for i, (packed, curve) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
-                ids = np.frombuffer(packed, "<u2").astype("<u4")
+                ids = np.frombuffer(packed, kind_of_id).astype("<u4")
                 start = 0
                 while start < len(ids):
                     length = min(size - filled % size, len(ids) - start)
@@ -175,7 +193,7 @@ def pack(df: DataFrame, ranks: bytes, pattern: str, size: int = 2048, key: str =
                  *(pa.array(column, pa.binary() if name == "ids" else pa.int64())
                    for name, column in zip(names[1:], rows[1:]))], names)
 
-    ordered = ready.repartitionByRange(parallelism(df.sparkSession), "curve", "tie") \
+    ordered = ready.repartitionByRange(n_ranges(tokens, size, parallelism(df.sparkSession)), "curve", "tie") \
         .sortWithinPartitions("curve", "tie", "key", "ids").select("key", "ids", "curve")
     return ordered.mapInArrow(run, schema).withColumnRenamed("key", key)
 
