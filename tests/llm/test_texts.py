@@ -89,6 +89,9 @@ def test_quality_bands():
     assert not quality.verdict(random.Random(4).randbytes(5000), press)[0]
     half = noise[:20_000] + b"again and again " * 2000
     assert quality.verdict(half, press)[2] > 0.5
+    words = " ".join(f"{random.Random(i).choice('abcdefg')}{i * 7919 % 1000}" for i in range(3000)).encode()[:8192]
+    tail = quality.verdict(words + b"again " * 682, press)[2] - quality.verdict(words, press)[2]
+    assert tail > 0                                                  # the bytes after the last full chunk count
 
 
 def test_quality_odd_rows(odd, none):

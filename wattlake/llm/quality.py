@@ -4,7 +4,8 @@ A text is compressed with zstandard as a whole and in fixed chunks.  Ratios (byt
 limit mean repetition or templates, ratios below one mean noise.  Longer texts compress better, so the limits of
 the whole text depend on its length: ``BANDS`` gives them at some lengths, with straight lines in the logarithm
 of the length between.  Chunks all have the same length and so one pair of limits; a text is rejected if more
-than ``BAD_CHUNKS`` of its full chunks lie outside.  Texts shorter than the first length of ``BANDS`` are not
+than ``BAD_CHUNKS`` of its chunks lie outside.  The last chunk ends with the text, reaching back into the one before,
+so that every byte is in a chunk.  Texts shorter than the first length of ``BANDS`` are not
 judged by compression, because a short text's ratio says little.
 """
 
@@ -66,7 +67,8 @@ def verdict(text: bytes, compressor: zstandard.ZstdCompressor) -> tuple[bool, fl
     kept = np.interp(place, np.log2(sizes), low) <= whole <= np.interp(place, np.log2(sizes), high)
     share = None
     if len(text) >= CHUNK:
-        found = [ratio(text[at:at + CHUNK], compressor) for at in range(0, len(text) - CHUNK + 1, CHUNK)]
+        starts = [*range(0, len(text) - CHUNK, CHUNK), len(text) - CHUNK]
+        found = [ratio(text[at:at + CHUNK], compressor) for at in starts]
         share = float(np.mean([not CHUNK_BAND[0] <= value <= CHUNK_BAND[1] for value in found]))
         kept = kept and share <= BAD_CHUNKS
     return bool(kept), whole, share
