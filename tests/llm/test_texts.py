@@ -282,6 +282,20 @@ def test_similar_sets_share_a_signature():
             assert a & b, (size, gone)
 
 
+def test_similar_links_in_many_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", (100, 300))                 # shingles: tiles of a few sets
+    monkeypatch.setattr(jaccard, "COLUMNS", 2)
+    base, docs = [f"w{n}" for n in range(60)], []
+    for n in range(40):                                              # a chain: only neighbours are similar
+        words = base[n // 2:] + [f"x{i}" for i in range(n // 2)]
+        docs.append((n, " ".join(words + ["y"] * (n % 2))))
+    docs += [(100 + n, " ".join(base[:40] + [f"z{n} z{n + 1}"])) for n in range(30)]
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, sets: pairs.where("a IS NULL"))     # all links come from tiles
+    rows = jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id")
+    assert by_key(rows.collect()) == by_key(groups(docs))
+    assert len({row[2] for row in groups(docs)}) < len(docs)
+
+
 def test_similar_counts_colliding_shingles(monkeypatch):
     one = np.array([7, 7 + (4 << 32), 7 + (8 << 32), 1 << 34], np.uint64)       # three are the same in bucket and 32 bits
     two = np.append(one[:3], np.uint64(3 << 34) + np.uint64(5))

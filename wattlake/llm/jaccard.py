@@ -45,7 +45,8 @@ from wattlake.session import stored
 
 BLOCK = 2 << 20
 SMALL = 11                       # sizes up to this send subsets
-TILE = (256, 1024)               # sets held against sets in one task, after the first links
+TILE = (1 << 19, 1 << 21)        # shingles of the sets held against sets in one task, after the first links
+COLUMNS = 256                    # sets of a tile looked at together
 FIFTHS = 2                       # of the domain of shingles, for the first test
 FILTER_BITS = 1 << 26            # of the bitmap that finds the texts still needed
 U64 = np.uint64
@@ -300,8 +301,8 @@ def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between sets that share a list and have not ended in one component.
 
     Of two such sets at least one is not in the component of the list's hub.  So for each component, the sets
-    outside it of the lists whose hubs it has are held against all sets of these lists, in tiles of ``TILE`` rows
-    that Spark deals out; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
+    outside it of the lists whose hubs it has are held against all sets of these lists, in tiles of about ``TILE`` shingles
+    that Spark deals out, so that a tile's memory has a bound and short texts are copied to few tiles; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
     each other component is returned.
     """
     placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
@@ -310,8 +311,8 @@ def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     hubs = members.where("vertex = hub").select("hub", F.col("label").alias("hub_label"))
     members = members.join(hubs, "hub").select(F.col("hub_label").alias("hub"), "vertex", "label", "n", "most").distinct() \
         .withColumn("outside", F.col("label") != F.col("hub"))
-    tiles = members.groupBy("hub").agg(F.ceil(F.count_if("outside") / TILE[0]).cast("int").alias("n_x"),
-                                       F.ceil(F.count("*") / TILE[1]).cast("int").alias("n_y"))
+    tiles = members.groupBy("hub").agg(F.ceil(F.sum(F.when(F.col("outside"), F.col("n"))) / TILE[0]).cast("int").alias("n_x"),
+                                       F.ceil(F.sum("n") / TILE[1]).cast("int").alias("n_y")).where("n_x > 0")
     dealt = members.join(tiles, "hub")
     salt = F.pmod(F.xxhash64("vertex"), F.lit(1 << 30))
     first = dealt.where("outside").withColumn("x", F.pmod(salt, F.col("n_x")).cast("int")) \
@@ -333,7 +334,7 @@ def compare(table: pa.Table) -> pa.Table:
     parts = np.split(place, np.cumsum(counts)[:-1])
     left, right = np.nonzero(asked)[0], np.nonzero(~asked)[0]
     found: set[tuple[int, int]] = set()
-    width = int(np.clip((1 << 26) // max(1, len(names)), 8, TILE[0]))       # a table of at most 64 MB, unless sets are huge
+    width = int(np.clip((1 << 26) // max(1, len(names)), 8, COLUMNS))       # a table of at most 64 MB, unless sets are huge
     for start in range(0, len(left), width):
         some = left[start:start + width]
         has = np.zeros((len(names), len(some)), np.uint8)
@@ -415,10 +416,11 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                    .withColumn("most", F.floor(7 * (F.col("n") - F.col("own")) / 3) - F.col("n"))
                    .withColumn("least", F.min("n").over(one_list)).where("most >= least")
                    .withColumn("members", F.count("*").over(one_list)).where("members > 1")
-                   .withColumn("hub", F.first("vertex").over(one_list.orderBy("own", "vertex")))
-                   .select("list", "vertex", "n", "most", "hub"), "lists")
+                   .withColumn("first", F.first(F.struct("vertex", "n", "most")).over(one_list.orderBy("own", "vertex")))
+                   .select("list", "vertex", "n", "most", F.col("first.vertex").alias("hub"), F.col("first.n").alias("hub_n"),
+                           F.col("first.most").alias("hub_most")), "lists")
 
-    stars = stored(lists.where("vertex <> hub").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
+    stars = stored(lists.where("vertex <> hub AND n <= hub_most AND hub_n <= most").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
                    .distinct(), "pairs")
     edges = stored(verified(stars, sets), "links")
     labels = components(edges)
