@@ -68,12 +68,19 @@ PARTS = """
                    WHEN day(raw_ts) BETWEEN 11 AND 20 AND event_id NOT LIKE '%3' THEN 2 ELSE 3 END AS part FROM telemetry"""
 
 
-def three_batches(spark, sf_dir, folder: str):
-    """A file stream of three micro-batches."""
+def in_three_batches(spark, sf_dir, folder: str, start):
+    """Starts a query three times over a file stream that each time has got another part of the readings; the stream.
+
+    A start takes all files that are new, as one micro-batch, so that a part may be written by many tasks and read by
+    many: one file for each part would be the work of one task, however large the table is.  Rows are dealt by event,
+    because those of a part may lie in few splits of the table.
+    """
     rows = fx.telemetry(spark, sf_dir).withColumn("timestamp", F.col("raw_ts").cast("timestamp")).select(*TELEMETRY_COLUMNS)
     for part in (1, 2, 3):
-        rows.where(part_of_stream() == part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        rows.where(part_of_stream() == part).repartition("event_id").write.mode("append").parquet(f"{folder}/in")
+        readings = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        start(readings).awaitTermination()
+    return readings
 
 
 @register("late_readings", f"""
@@ -85,8 +92,8 @@ def three_batches(spark, sf_dir, folder: str):
 def _(spark, sf_dir):
     """Which readings of a stream are behind its watermark, and in which batch they came."""
     folder = scratch_dir(spark, "stream-late")
-    sink_with_late_rows(three_batches(spark, sf_dir, folder), f"{folder}/kept", f"{folder}/late", f"{folder}/checkpoint", None,
-                        "5 DAYS").awaitTermination()
+    in_three_batches(spark, sf_dir, folder, lambda readings: sink_with_late_rows(
+        readings, f"{folder}/kept", f"{folder}/late", f"{folder}/checkpoint", None, "5 DAYS"))
     return spark.read.parquet(f"{folder}/kept").withColumn("late", F.lit(False)) \
         .unionByName(spark.read.parquet(f"{folder}/late").withColumn("late", F.lit(True))) \
         .select("event_id", F.col("batch_id").cast("bigint").alias("batch_id"), "late")
@@ -96,10 +103,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """A lake that a stream writes in three batches, compacted in place, and the stream restarted."""
     folder = scratch_dir(spark, "stream-compact")
-    readings = three_batches(spark, sf_dir, folder)
-    jobs.stream_to_lake(readings, f"{folder}/lake", f"{folder}/checkpoint", None).awaitTermination()
+
+    def start(readings):
+        return jobs.stream_to_lake(readings, f"{folder}/lake", f"{folder}/checkpoint", None)
+
+    readings = in_three_batches(spark, sf_dir, folder, start)
     lake.compact_lake(spark, f"{folder}/lake")
-    jobs.stream_to_lake(readings, f"{folder}/lake", f"{folder}/checkpoint", None).awaitTermination()
+    start(readings).awaitTermination()
     return lake.read_lake(spark, f"{folder}/lake").select(*TELEMETRY_COLUMNS) \
         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
@@ -108,8 +118,9 @@ def scored(spark, sf_dir) -> str:
     """The folder of a scored stream of three batches, with the given trees as model."""
     folder = scratch_dir(spark, "stream-verdicts")
     baselines = stored(profiles.meter_baselines(fx.readings(spark, sf_dir)), "baselines")
-    jobs.score_stream(three_batches(spark, sf_dir, folder), baselines, f"{folder}/readings", f"{folder}/alerts",
-                      f"{folder}/checkpoint", given_forest(spark), None, f"{folder}/cards").awaitTermination()
+    forest = given_forest(spark)
+    in_three_batches(spark, sf_dir, folder, lambda readings: jobs.score_stream(
+        readings, baselines, f"{folder}/readings", f"{folder}/alerts", f"{folder}/checkpoint", forest, None, f"{folder}/cards"))
     return folder
 
 
