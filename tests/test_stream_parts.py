@@ -1,4 +1,4 @@
-"""Streams of several micro-batches: how many files a batch has."""
+"""Streams of several micro-batches: how many files a batch has, and which days are merged."""
 
 import datetime as dt
 import glob
@@ -7,6 +7,7 @@ import pytest
 
 from wattlake.registry import streams
 from wattlake.registry.base import QUERIES
+from wattlake.streaming import jobs
 
 EVENTS, FILES = 600, 20
 DATES = [dt.datetime(2024, 1, 1) + dt.timedelta(hours=n * 6 // 5) for n in range(EVENTS)]      # thirty days, in order
@@ -40,9 +41,24 @@ def batches(checkpoint):
     return len(glob.glob(f"{checkpoint}/commits/[0-9]*"))
 
 
-@pytest.mark.parametrize("name", ["streamed_verdicts", "late_readings", "streamed_lake_compacted"])
+@pytest.mark.parametrize("name", ["streamed_verdicts", "streamed_fault_cards", "late_readings", "streamed_lake_compacted"])
 def test_a_part_of_a_stream_is_one_batch_of_many_files(spark, tables, scratch, name):
     rows = QUERIES[name](spark, tables).collect()
-    assert len({row["event_id"] for row in rows}) == len(rows) == EVENTS
+    assert rows if name == "streamed_fault_cards" else len({row["event_id"] for row in rows}) == len(rows) == EVENTS
     folder, = glob.glob(f"{scratch}/stream-*")
     assert len(glob.glob(f"{folder}/in/*.parquet")) >= 6 and batches(f"{folder}/checkpoint") == 3
+
+
+def test_a_large_day_in_one_folder_is_not_written_again(spark, tmp_path):
+    target = str(tmp_path / "cards")
+    for batch, days in ((0, (1, 2)), (1, (2, 3)), (2, (3,))):
+        for _ in range(2):                                        # two files for each day of a batch
+            spark.createDataFrame([(f"2026-08-0{day}", "s", batch, 1, f"E{batch}{day}") for day in days],
+                                  "event_day string, stream string, batch_id long, written_at long, event_id string") \
+                .coalesce(1).write.mode("append").partitionBy(*jobs.BATCH_COLUMNS).parquet(target)
+    first = set(glob.glob(f"{target}/event_day=2026-08-01/**/*.parquet", recursive=True))
+    assert jobs.merge_batches(spark, target) == 1 and jobs.merge_batches(spark, target) == 0
+    assert len(first) == 2 and set(glob.glob(f"{target}/event_day=2026-08-01/**/*.parquet", recursive=True)) == first
+    assert {path.split("/")[-2] for path in glob.glob(f"{target}/event_day=2026-08-02/stream=merged/*/*.parquet")} == {"batch_id=0"}
+    assert sorted(row[0] for row in spark.read.parquet(target).select("event_id").collect()) == \
+        sorted(2 * ["E01", "E02", "E12", "E13", "E23"])

@@ -162,8 +162,9 @@ def read_batches(spark: SparkSession, target: str, commits: str | None = None) -
 def merge_batches(spark: SparkSession, target: str, commits: str | None = None, keep_days: int | None = None) -> int:
     """Merges the folders of complete batches into one per day, and drops days beyond ``keep_days``; days rewritten.
 
-    The folder count is then bounded by the days kept and the batches since the last call.  The newest batch of a
-    stream stays as it is, as it may still be retried.  Files are swapped by name (see ``swaps``), so a stream may
+    The folder count is then bounded by the days kept and the batches since the last call.  A day that lies in one
+    folder is not written again, however many files its size gave it.  The newest batch of a stream stays as it is, as
+    it may still be retried.  Files are swapped by name (see ``swaps``), so a stream may
     go on writing.  Without ``commits`` every stream's batches but its newest count as complete.
     """
     base = swaps.settle(spark, target)
@@ -178,17 +179,17 @@ def merge_batches(spark: SparkSession, target: str, commits: str | None = None,
     for _, _, stream, batch in listed:
         newest[stream] = max(newest.get(stream, -1), int(batch))
     complete = committed_batches(spark, commits) if commits else newest
-    per_day: dict[str, list[str]] = {}
+    per_day: dict[str, dict[tuple[str, str], list[str]]] = {}
     for path, day, stream, batch in listed:
         if stream == MERGED or int(batch) < min(newest[stream], complete.get(stream, -1)):
-            per_day.setdefault(day, []).append(path)
-    crowded = [path for paths in per_day.values() if len(paths) > 1 for path in paths]
+            per_day.setdefault(day, {}).setdefault((stream, batch), []).append(path)
+    crowded = [path for folders in per_day.values() if len(folders) > 1 for paths in folders.values() for path in paths]
     if crowded:
         rows = spark.read.option("basePath", target).option("mergeSchema", True).parquet(*crowded) \
             .withColumns({"stream": F.lit(MERGED), "batch_id": F.lit(0).cast("bigint")})
         staged, moves = swaps.staged_files(spark, target, rows.hint("rebalance", F.col("event_day")), BATCH_COLUMNS)
         swaps.publish(spark, target, staged, moves, [files.relative(spark, target, path) for path in crowded], base)
-    return sum(len(paths) > 1 for paths in per_day.values())
+    return sum(len(folders) > 1 for folders in per_day.values())
 
 
 BATCH_FOLDER = re.compile(r"/event_day=([^/]+)/stream=([^/]+)/batch_id=(\d+)/")
