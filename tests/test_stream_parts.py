@@ -1,11 +1,12 @@
-"""Streams of several micro-batches: how many files a batch has, and which days are merged."""
+"""Streams of several micro-batches: how many files a batch has, how many batches a folder of many files
+makes, and which days are merged."""
 
 import datetime as dt
 import glob
 
 import pytest
 
-from wattlake.registry import streams
+from wattlake.registry import ingest, streams
 from wattlake.registry.base import QUERIES
 from wattlake.streaming import jobs
 
@@ -31,7 +32,8 @@ def tables(spark, tmp_path_factory):
 @pytest.fixture
 def scratch(spark, tmp_path, monkeypatch):
     """Scratch folders of the query at hand, by purpose, and shuffle partitions that stay apart."""
-    monkeypatch.setattr(streams, "scratch_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    for module in (ingest, streams):
+        monkeypatch.setattr(module, "scratch_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield tmp_path
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -49,6 +51,14 @@ def test_a_part_of_a_stream_is_one_batch_of_many_files(spark, tables, scratch, n
     assert len(glob.glob(f"{folder}/in/*.parquet")) >= 6 and batches(f"{folder}/checkpoint") == 3
 
 
+@pytest.mark.parametrize("name, purpose", [("json_stream_alerts", "json-alerts"), ("json_stream_lake", "json-lake")])
+def test_batches_of_a_folder_do_not_follow_its_files(spark, tables, scratch, name, purpose):
+    found = {row["event_id"] for row in QUERIES[name](spark, tables).collect()}
+    assert len(glob.glob(f"{scratch}/messages/part-*")) > ingest.BATCHES
+    assert 1 < batches(f"{scratch}/{purpose}/checkpoint") <= ingest.BATCHES
+    assert len(found) == EVENTS or purpose == "json-alerts" and found
+
+
 def test_a_large_day_in_one_folder_is_not_written_again(spark, tmp_path):
     target = str(tmp_path / "cards")
     for batch, days in ((0, (1, 2)), (1, (2, 3)), (2, (3,))):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from wattlake import fixtures as fx
@@ -10,7 +12,7 @@ from wattlake.registry.base import register
 from wattlake.registry.profiles import NINE
 from wattlake.schema import TELEMETRY_COLUMNS
 from wattlake.session import scratch_dir, stored
-from wattlake.sources import dimensions, lake, serving
+from wattlake.sources import dimensions, files, lake, serving
 from wattlake.sources.telemetry import parse_telemetry, read_telemetry_csv, telemetry_stream
 from wattlake.streaming import jobs
 from wattlake.streaming.windows import sliding_building_averages
@@ -33,8 +35,21 @@ def messages(spark, sf_dir) -> str:
     return folder
 
 
-def message_stream(spark, sf_dir, **options):
-    return parse_telemetry(telemetry_stream(spark, "text", options, messages(spark, sf_dir)))
+BATCHES = 8                            # micro-batches that a folder of messages makes at most
+
+
+def message_stream(spark, sf_dir, batches: int | None = None):
+    """The messages as a stream; with ``batches`` in so many micro-batches at most, of one file each if there are few.
+
+    The number of files follows the tasks that wrote them.  With a batch for each, the work that a batch has besides its
+    rows, such as reading all baselines, would grow with the square of the table.
+    """
+    folder = messages(spark, sf_dir)
+    if batches is None:
+        return parse_telemetry(telemetry_stream(spark, "text", path=folder))
+    written = sum(name.startswith("part-") for name in files.names(spark, folder))
+    options = {"maxFilesPerTrigger": str(max(1, math.ceil(written / batches)))}
+    return parse_telemetry(telemetry_stream(spark, "text", options, folder))
 
 
 @register("json_stream_averages", "SELECT * FROM sliding")
@@ -51,7 +66,7 @@ def _(spark, sf_dir):
 @register("json_stream_lake", f"SELECT {RAW} FROM telemetry")
 def _(spark, sf_dir):
     folder = scratch_dir(spark, "json-lake")
-    jobs.stream_to_lake(message_stream(spark, sf_dir, maxFilesPerTrigger="1"), f"{folder}/lake", f"{folder}/checkpoint",
+    jobs.stream_to_lake(message_stream(spark, sf_dir, BATCHES), f"{folder}/lake", f"{folder}/checkpoint",
                         None).awaitTermination()
     return lake.read_lake(spark, f"{folder}/lake").select(*TELEMETRY_COLUMNS) \
         .withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
@@ -61,7 +76,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     folder = scratch_dir(spark, "json-alerts")
     baselines = stored(profiles.meter_baselines(fx.readings(spark, sf_dir)), "baselines")
-    jobs.score_stream(message_stream(spark, sf_dir, maxFilesPerTrigger="1"), baselines, f"{folder}/readings",
+    jobs.score_stream(message_stream(spark, sf_dir, BATCHES), baselines, f"{folder}/readings",
                       f"{folder}/alerts", f"{folder}/checkpoint", interval=None).awaitTermination()
     return spark.read.parquet(f"{folder}/alerts").select("event_id", "meter_id", "alert_type", "severity", "description")
 
