@@ -296,6 +296,37 @@ def test_similar_links_in_many_tiles(spark, monkeypatch):
     assert len({row[2] for row in groups(docs)}) < len(docs)
 
 
+def test_similar_sets_have_similar_sketches():
+    dice = np.random.default_rng(4)
+    for size, gone in [(1, 0), (14, 2), (32, 4), (33, 4), (60, 8), (65, 8), (300, 41), (1024, 140)]:
+        x = dice.integers(0, 1 << 62, size).astype(np.uint64)
+        new = dice.integers(0, 1 << 62, gone).astype(np.uint64)
+        for y in (np.append(x[gone:], new), x[size // 4:], dice.integers(0, 1 << 62, size).astype(np.uint64)):
+            n, both = np.array([len(x), len(y)]), len(np.intersect1d(x, y))
+            values = np.append(x, y)
+            one, two = (np.frombuffer(blob, "<u8") for blob in jaccard.sketches(values, n))
+            assert 2 * n[0] <= 64 * len(one) < max(65, 4 * n[0] + 1)
+            table = pa.table({"hub": pa.array([1, 1]), "x": pa.array([0, 0], pa.int32()), "y": pa.array([0, 0], pa.int32()),
+                              "asked": pa.array([True, False]), "vertex": pa.array([1, 2]), "label": pa.array([1, 2]),
+                              "n": pa.array(n), "most": pa.array([9999, 9999]), "sketch": pa.array([one.tobytes(), two.tobytes()])})
+            similar = 100 * both >= 75 * (n.sum() - both)
+            assert jaccard.left_open(table).num_rows == (2 if similar else 0), (size, gone, len(y), both)
+
+
+def test_similar_strangers_with_a_common_line_are_not_compared(spark, monkeypatch):
+    dice = np.random.default_rng(6)
+    line, docs = " ".join(f"c{n}" for n in range(8)), []
+    for n in range(60):                                              # pairs of near copies; all have one line
+        words = [f"w{x}" for x in dice.integers(0, 100000, 60)]
+        docs += [(2 * n, " ".join([line, *words])), (2 * n + 1, " ".join([line, *words, "end"]))]
+    given = []
+    seen = jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, sets: (given.append(pairs.count()), seen(pairs, sets))[1])
+    rows = jaccard.similar_groups(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "n_shingles", "component_id")
+    assert by_key(rows.collect()) == by_key(groups(docs))
+    assert given == [60]
+
+
 def test_similar_counts_colliding_shingles(monkeypatch):
     one = np.array([7, 7 + (4 << 32), 7 + (8 << 32), 1 << 34], np.uint64)       # three are the same in bucket and 32 bits
     two = np.append(one[:3], np.uint64(3 << 34) + np.uint64(5))

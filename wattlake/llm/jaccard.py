@@ -22,6 +22,10 @@ differ in at most (|x| + |y|) / 7 shingles.
 * Pairs.  First the set of each list with the fewest shingles of its own is held against the others, then, for lists whose sets have
   not ended in one component, those of the smaller components against the rest.  Each pair is verified on the
   sets themselves.  No list is capped; a list of many copies is linked by a star, not by all its pairs.
+* Sketches.  A signature may be a single shingle of a line that very many documents have, so lists grow with the
+  corpus although their sets are strangers.  Before sets are compared, their sketches are: each shingle flips one of
+  2 bits per shingle or more.  Two sketches differ in no more bits than the sets in shingles, so pairs whose sketches
+  differ in over a seventh of both sizes cannot link, and the texts of sets without any other pair stay where they are.
 
 Equal sets are one vertex throughout, so exact copies cost nothing beyond their row.
 """
@@ -45,7 +49,9 @@ from wattlake.session import stored
 
 BLOCK = 2 << 20
 SMALL = 11                       # sizes up to this send subsets
-TILE = (1 << 19, 1 << 21)        # shingles of the sets held against sets in one task, after the first links
+TILE = (1 << 21, 1 << 23)        # shingles of the sets held against sets in one task, after the first links
+PIECE = (1 << 19, 1 << 21)       # and of those whose shingles are looked at together
+LOOK = 1 << 17                   # words of sketches looked at together
 COLUMNS = 256                    # sets of a tile looked at together
 FIFTHS = 2                       # of the domain of shingles, for the first test
 FILTER_BITS = 1 << 26            # of the bitmap that finds the texts still needed
@@ -121,6 +127,18 @@ def signatures(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def sketches(values: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """The parities of each set's shingles, over 2 to 4 bits for each: 64 bits at least, a power of two."""
+    words = 1 << np.ceil(np.log2(np.maximum(counts, 32) / 32)).astype(np.int64)
+    ends = np.cumsum(words)
+    value = mix(values + U64(7777))
+    width = np.repeat(words, counts)
+    place = np.repeat(ends - words, counts) + ((value >> U64(6)).astype(np.int64) & (width - 1))
+    out = np.zeros(int(words.sum()), U64)
+    np.bitwise_xor.at(out, place, U64(1) << (value & U64(63)))
+    return [part.astype("<u8").tobytes() for part in np.split(out, ends[:-1])] if len(counts) else []
+
+
 def sampled(values: np.ndarray) -> np.ndarray:
     """Whether a shingle is in the part of the domain that the first test looks at."""
     return mix(values + U64(99)) % U64(5) < U64(FIFTHS)
@@ -297,31 +315,105 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "packed_a", "packed_b").mapInArrow(run, "a long, b long")
 
 
+def hopeful(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches leave it open whether the sets are similar."""
+    one = sets.select(F.col("vertex").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = sets.select(F.col("vertex").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+
+    def differ(x: bytes, y: bytes) -> int:
+        small, large = sorted((x, y), key=len)
+        bits = 8 * len(large)
+        large = int.from_bytes(large, "little")
+        while bits > 8 * len(small):                                  # halves laid over each other: as if half as wide
+            bits //= 2
+            large = (large ^ large >> bits) & (1 << bits) - 1
+        return (int.from_bytes(small, "little") ^ large).bit_count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b, x, y = (column.to_pylist() for column in batch.columns)
+            open_ = [7 * differ(*both) <= n + m for n, m, *both in zip(n_a, n_b, x, y)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(open_, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
+
+
 def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between sets that share a list and have not ended in one component.
 
     Of two such sets at least one is not in the component of the list's hub.  So for each component, the sets
     outside it of the lists whose hubs it has are held against all sets of these lists, in tiles of about ``TILE`` shingles
-    that Spark deals out, so that a tile's memory has a bound and short texts are copied to few tiles; a pair that shares many lists is looked at once, and no pair becomes a row.  For each set, one link to
-    each other component is returned.
+    that Spark deals out, so that a tile's memory has a bound and short texts are copied to few tiles; a pair that shares many lists is looked at once, and no pair becomes a row.  Sketches go to the tiles first, and texts only of
+    sets that have a pair there which the sketches leave open.  For each set, one link to each other component is returned.
     """
     placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     several = placed.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    members = placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct()
+    members = stored(placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct(), "members")
     hubs = members.where("vertex = hub").select("hub", F.col("label").alias("hub_label"))
-    members = members.join(hubs, "hub").select(F.col("hub_label").alias("hub"), "vertex", "label", "n", "most").distinct() \
-        .withColumn("outside", F.col("label") != F.col("hub"))
-    tiles = members.groupBy("hub").agg(F.ceil(F.sum(F.when(F.col("outside"), F.col("n"))) / TILE[0]).cast("int").alias("n_x"),
-                                       F.ceil(F.sum("n") / TILE[1]).cast("int").alias("n_y")).where("n_x > 0")
-    dealt = members.join(tiles, "hub")
+    members = stored(members.join(hubs, "hub").select(F.col("hub_label").alias("hub"), "vertex", "label", "n", "most").distinct()
+                     .withColumn("outside", F.col("label") != F.col("hub")), "members")
+    weight = F.greatest("n", F.lit(TILE[0] >> 13))                     # a tile has a bounded number of tiny sets, too
+    tiles = members.groupBy("hub").agg(F.ceil(F.sum(F.when(F.col("outside"), weight)) / TILE[0]).cast("int").alias("n_x"),
+                                       F.ceil(F.sum(weight) / TILE[1]).cast("int").alias("n_y")).where("n_x > 0")
+    dealt = members.join(tiles, "hub").join(sets.select("vertex", "sketch"), "vertex")
     salt = F.pmod(F.xxhash64("vertex"), F.lit(1 << 30))
     first = dealt.where("outside").withColumn("x", F.pmod(salt, F.col("n_x")).cast("int")) \
         .withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_y") - 1))).withColumn("asked", F.lit(True))
     second = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n_x") - 1))) \
         .withColumn("y", F.pmod(salt, F.col("n_y")).cast("int")).withColumn("asked", F.lit(False))
-    rows = first.unionByName(second).select("hub", "x", "y", "asked", "vertex", "label", "n", "most") \
-        .join(sets.select("vertex", "packed"), "vertex")
-    return rows.groupBy("hub", "x", "y").applyInArrow(compare, "a long, b long")
+    columns = ["hub", "x", "y", "asked", "vertex", "label", "n", "most"]
+    rows = stored(first.unionByName(second).select(*columns, "sketch").groupBy("hub", "x", "y")
+                  .applyInArrow(left_open, "hub long, x int, y int, asked boolean, vertex long, label long, n long, most long"), "tiles")
+    return rows.join(sets.select("vertex", "packed"), "vertex").groupBy("hub", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def left_open(table: pa.Table) -> pa.Table:
+    """Of one tile: the sets that have a pair there, one of them asked, whose sketches may be those of similar sets."""
+    asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
+    label, n, most = (table.column(name).to_numpy() for name in ("label", "n", "most"))
+    blobs = table.column("sketch").to_pylist()
+    words = np.array([len(blob) // 8 for blob in blobs])
+    order = np.lexsort((n, words))                                     # a larger sketch has a larger set
+    right, keep = order[~asked[order]], np.zeros(len(n), bool)
+    size = n[right]
+
+    def laid(some: np.ndarray, width: int) -> np.ndarray:
+        """The sketches of sets with the same number of words, folded to ``width`` words: a column for each."""
+        all_ = np.frombuffer(b"".join(blobs[i] for i in some), "<u8").reshape(len(some), -1).T
+        while len(all_) > width:
+            all_ = all_[:len(all_) // 2] ^ all_[len(all_) // 2:]
+        return np.ascontiguousarray(all_)
+
+    for width in np.unique(words[asked]):
+        left = order[asked[order] & (words[order] == width)]
+        for other in (width // 2, width, 2 * width):                  # sizes of similar sets differ by a third at most
+            of = np.nonzero(words[right] == other)[0]
+            if not other or not len(of):
+                continue
+            narrow = int(min(width, other))
+            columns, mine = laid(right[of], narrow), laid(left, narrow)
+            first = max(1, 3 * narrow // 8)                           # words that most strangers already differ in
+            least = np.searchsorted(size[of], -(-3 * n[left] // 4))
+            last = np.searchsorted(size[of], 4 * n[left] // 3, side="right")
+            at = 0
+            while at < len(left):
+                begin = least[at]
+                stop = at + max(1, LOOK // (first * max(1, int(last[at] - begin))))
+                i, j = left[at:stop], right[of[begin:last[min(stop, len(left)) - 1]]]
+                differ = np.bitwise_count(columns[:first, None, begin:begin + len(j)] ^ mine[:first, at:stop, None]).sum(0, dtype=np.int32)
+                x, y = np.nonzero(7 * differ <= n[i][:, None] + n[j])
+                some = (label[i[x]] != label[j[y]]) & (n[i[x]] <= most[j[y]]) & (n[j[y]] <= most[i[x]])
+                x, y = x[some], y[some]
+                more = np.bitwise_count(columns[first:, begin + y] ^ mine[first:, at + x]).sum(0, dtype=np.int32)
+                some = 7 * (differ[x, y] + more) <= n[i[x]] + n[j[y]]
+                keep[i[x[some]]] = keep[j[y[some]]] = True
+                at = stop
+    return table.select(["hub", "x", "y", "asked", "vertex", "label", "n", "most"]).filter(pa.array(keep))
+
+
+def pieces(rows: np.ndarray, n: np.ndarray, most: int) -> list[np.ndarray]:
+    """The rows in runs of about ``most`` shingles."""
+    return [part for part in np.split(rows, np.nonzero(np.diff((np.cumsum(n[rows]) - n[rows]) // most))[0] + 1) if len(part)]
 
 
 def compare(table: pa.Table) -> pa.Table:
@@ -329,27 +421,30 @@ def compare(table: pa.Table) -> pa.Table:
     unpack = zstandard.ZstdDecompressor()
     asked = table.column("asked").to_numpy(zero_copy_only=False).astype(bool)
     vertex, label, n, most = (table.column(name).to_numpy() for name in ("vertex", "label", "n", "most"))
-    values, counts = shingle_sets([unpack.decompress(item) for item in table.column("packed").to_pylist()])
-    names, place = np.unique(values, return_inverse=True)
-    parts = np.split(place, np.cumsum(counts)[:-1])
-    left, right = np.nonzero(asked)[0], np.nonzero(~asked)[0]
+    packed_ = table.column("packed").to_pylist()
     found: set[tuple[int, int]] = set()
-    width = int(np.clip((1 << 26) // max(1, len(names)), 8, COLUMNS))       # a table of at most 64 MB, unless sets are huge
-    for start in range(0, len(left), width):
-        some = left[start:start + width]
-        has = np.zeros((len(names), len(some)), np.uint8)
-        for column, i in enumerate(some):
-            has[parts[i], column] = 1
-        done: set[tuple[int, int]] = set()
-        for j in right:
-            fits = (label[some] != label[j]) & (n[some] <= most[j]) & (n[j] <= most[some])
-            if not fits.any():
-                continue
-            both = np.add.reduce(has[parts[j]], axis=0, dtype=np.uint32).astype(np.int64)
-            for column in np.nonzero(fits & (100 * both >= 75 * (counts[some] + counts[j] - both)))[0]:
-                if (int(some[column]), int(label[j])) not in done:
-                    done.add((int(some[column]), int(label[j])))
-                    found.add((int(vertex[some[column]]), int(vertex[j])))
+    for lefts in pieces(np.nonzero(asked)[0], n, PIECE[0]):
+        for rights in pieces(np.nonzero(~asked)[0], n, PIECE[1]):
+            both_ = np.append(lefts, rights)
+            values, counts = shingle_sets([unpack.decompress(packed_[i]) for i in both_])
+            names, place = np.unique(values, return_inverse=True)
+            parts = dict(zip(both_.tolist(), np.split(place, np.cumsum(counts)[:-1])))
+            width = int(np.clip((1 << 26) // max(1, len(names)), 8, COLUMNS))   # a table of at most 64 MB, unless sets are huge
+            for start in range(0, len(lefts), width):
+                some = lefts[start:start + width]
+                has = np.zeros((len(names), len(some)), np.uint8)
+                for column, i in enumerate(some):
+                    has[parts[int(i)], column] = 1
+                done: set[tuple[int, int]] = set()
+                for j in rights:
+                    fits = (label[some] != label[j]) & (n[some] <= most[j]) & (n[j] <= most[some])
+                    if not fits.any():
+                        continue
+                    both = np.add.reduce(has[parts[int(j)]], axis=0, dtype=np.uint32).astype(np.int64)
+                    for column in np.nonzero(fits & (100 * both >= 75 * (n[some] + n[j] - both)))[0]:
+                        if (int(some[column]), int(label[j])) not in done:
+                            done.add((int(some[column]), int(label[j])))
+                            found.add((int(vertex[some[column]]), int(vertex[j])))
     pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
@@ -402,17 +497,17 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
             items = raw_texts(batch, "text")
             values, counts = shingle_sets(items)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(set_numbers(values, counts)), pa.array(counts.astype(np.int64)), binaries(list(map(packer.compress, items)))],
-                ["vertex", "n_shingles", "packed"])
+                [pa.array(set_numbers(values, counts)), pa.array(counts.astype(np.int64)), binaries(sketches(values, counts)),
+                 binaries(list(map(packer.compress, items)))], ["vertex", "n_shingles", "sketch", "packed"])
 
     mixed = stored(mixed, "mixed")
-    some = stored(likely(rows, "doc", mixed).select("text").mapInArrow(pack, "vertex long, n_shingles long, packed binary")
+    some = stored(likely(rows, "doc", mixed).select("text").mapInArrow(pack, "vertex long, n_shingles long, sketch binary, packed binary")
                   .join(mixed.select("vertex"), "vertex", "left_semi").dropDuplicates(["vertex"]), "sets")
     sets = stored(some.join(count_shared(some, "packed", False), "vertex")
                   .where(F.col("n_shingles") - F.col("shared") <= n_least)
-                  .select("vertex", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.col("shared")).alias("own"), "packed"), "sets")
+                  .select("vertex", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.col("shared")).alias("own"), "sketch", "packed"), "sets")
     one_list = Window.partitionBy("list")
-    lists = stored(shared_lists(sets).join(sets.drop("packed"), "vertex")
+    lists = stored(shared_lists(sets).join(sets.select("vertex", "n", "own"), "vertex")
                    .withColumn("most", F.floor(7 * (F.col("n") - F.col("own")) / 3) - F.col("n"))
                    .withColumn("least", F.min("n").over(one_list)).where("most >= least")
                    .withColumn("members", F.count("*").over(one_list)).where("members > 1")
@@ -422,7 +517,7 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
 
     stars = stored(lists.where("vertex <> hub AND n <= hub_most AND hub_n <= most").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
                    .distinct(), "pairs")
-    edges = stored(verified(stars, sets), "links")
+    edges = stored(verified(stored(hopeful(stars, sets), "pairs"), sets), "links")
     labels = components(edges)
 
     more = stored(compared(lists, labels, sets), "links")
