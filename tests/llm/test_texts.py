@@ -214,6 +214,28 @@ def test_repeats_of_a_common_passage_are_spread(spark):
     assert by_key(found.collect()) == by_key(without_repeats(docs))
 
 
+def test_repeats_bucket_looks_at_all_messages_together(monkeypatch):
+    dice, looked, rows = random.Random(7), [], []
+    spans = repeats.covered_spans
+    monkeypatch.setattr(repeats, "covered_spans", lambda *args: (looked.append(len(args[2])), spans(*args))[1])
+    joined = repeats.joined_spans
+    monkeypatch.setattr(repeats, "joined_spans", lambda *args: (looked.append(0), joined(*args))[1])
+    text = bytes(dice.choices(b"abcdefgh", k=60))
+    for home in range(40):                                         # all have one slice, and one of their own
+        own = bytes(dice.choices(b"abcdefgh", k=55))
+        rows.append((0, home, repeats.packed(np.array([home + 5, -1 if home == 3 else repeats.LAST_ID])),
+                     np.array([60, 55], "<u4").tobytes(), text + own, np.array([2, 1], "<u4").tobytes(),
+                     repeats.small(np.array([7, (1 << 32) - 500, 9])), np.array([2] + [0] * (repeats.SUBS - 1), "<u4").tobytes(),
+                     repeats.small(np.array([1000])), np.array([3], "<u4").tobytes()))
+    names = [column.split()[0] for column in repeats.SLICE_SCHEMA.split(", ")]
+    found = repeats.first_holders(pa.table(dict(zip(names, map(list, zip(*rows))))))
+    for home, first, strings in zip(*(found.column(name).to_pylist() for name in ("home", "first", "strings"))):
+        covered = [] if home == 0 else [7, (1 << 32) - 500]
+        assert sorted(zip(repeats.large(first).tolist(), np.frombuffer(strings, "<u4").tolist())) == sorted(
+            [(1000, 3), *((at, 11) for at in covered)])
+    assert found.num_rows == 40 and looked == [80, 0]              # not once for each message
+
+
 def test_repeats_odd_rows(odd, none):
     assert repeats.remove_repeats(odd, keep=("labels",)).count() == odd.count()
     assert repeats.remove_repeats(none).count() == 0
