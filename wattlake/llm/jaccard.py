@@ -348,7 +348,7 @@ def compared(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """
     placed = lists.join(labels, "vertex", "left").withColumn("label", F.coalesce("label", "vertex"))
     several = placed.groupBy("list").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    members = stored(placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct(), "members")
+    members = placed.join(several, "list", "left_semi").select("hub", "vertex", "label", "n", "most").distinct()
     hubs = members.where("vertex = hub").select("hub", F.col("label").alias("hub_label"))
     members = stored(members.join(hubs, "hub").select(F.col("hub_label").alias("hub"), "vertex", "label", "n", "most").distinct()
                      .withColumn("outside", F.col("label") != F.col("hub")), "members")
@@ -515,8 +515,7 @@ def similar_groups(df: DataFrame, key: str = "doc_id", text: str = "text", keep:
                    .select("list", "vertex", "n", "most", F.col("first.vertex").alias("hub"), F.col("first.n").alias("hub_n"),
                            F.col("first.most").alias("hub_most")), "lists")
 
-    stars = stored(lists.where("vertex <> hub AND n <= hub_most AND hub_n <= most").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b"))
-                   .distinct(), "pairs")
+    stars = lists.where("vertex <> hub AND n <= hub_most AND hub_n <= most").select(F.least("hub", "vertex").alias("a"), F.greatest("hub", "vertex").alias("b")).distinct()
     edges = stored(verified(stored(hopeful(stars, sets), "pairs"), sets), "links")
     labels = components(edges)
 
